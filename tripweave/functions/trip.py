@@ -85,6 +85,15 @@ def batch_key(date: Column, rows: Column) -> Column:
     return F.substring(F.md5(F.concat_ws("_", date, rows.cast("string"))), 1, 12)
 
 
+def computed_once(df: DataFrame, *columns: Column) -> DataFrame:
+    """A projection that later filters and projections do not copy.
+
+    Catalyst moves a filter below a plain projection by repeating the expressions it tests, which
+    parses a JSON text again for every use. It leaves a generator in place.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Every double column rounded, so that results compare across engines."""
     return df.select(*[

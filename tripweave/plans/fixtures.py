@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.functions.trip import with_trip_features
+from tripweave.functions.trip import computed_once, with_trip_features
 from tripweave.operators.filters import clean_rows
 from tripweave.operators.scoring import linear_baseline, score_with_line
 from tripweave.sources.messages import encode
@@ -99,9 +99,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "negative_duration", F.regexp_replace(text, r'"trip_duration":\d+', '"trip_duration":-5'))
         .otherwise(text)
     )
-    return sent.withColumn("id", F.col("key")).withColumn("kind", F.expr(MESSAGE_KIND)).select(
-        "key", damaged.alias("value")
-    )
+    marked = sent.withColumn("id", F.col("key")).withColumn("kind", F.expr(MESSAGE_KIND))
+    return computed_once(marked, F.col("key"), damaged.alias("value"))
 
 
 def message_halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
