@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.trip import day_name, grid
-from tripweave.operators.statistics import frequencies
+from tripweave.operators.statistics import frequencies, weighted_stddev
 
 
 def _total(column: str) -> Column:
@@ -61,15 +61,16 @@ def daily_summary(clean: DataFrame, run_date: str) -> DataFrame:
         *[F.sum(c).alias(f"sum_{c}") for c in kept],
         *[F.count(c).alias(f"count_{c}") for c in kept[:3]],
     )
-    d, n = F.col("trip_duration").cast("double"), F.col("n")
+    n = F.col("n")
 
     def mean(c: str) -> Column:
         return F.try_divide(F.sum(f"sum_{c}"), F.sum(f"count_{c}").cast("double"))
 
-    base = per_duration.agg(
+    return per_duration.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("total_trips"),
-        F.try_divide(F.sum(d * n), F.sum(n).cast("double")).alias("avg_duration"),
+        F.try_divide(F.sum(F.col("trip_duration") * n).cast("double"), F.sum(n).cast("double")).alias("avg_duration"),
         F.percentile("trip_duration", F.lit(0.5), n).alias("median_duration"),
+        weighted_stddev("trip_duration", "n").alias("std_duration"),
         mean("distance_km").alias("avg_distance"),
         F.coalesce(F.sum("sum_distance_km"), F.lit(0.0)).alias("total_distance"),
         _total("sum_passenger_count").alias("total_passengers"),
@@ -77,16 +78,7 @@ def daily_summary(clean: DataFrame, run_date: str) -> DataFrame:
         mean("speed_kmh").alias("avg_speed"),
         _total("sum_is_rush_hour").alias("rush_hour_trips"),
         _total("sum_is_weekend").alias("weekend_trips"),
-    )
-    gap = d - F.col("avg_duration")
-    spread = per_duration.crossJoin(F.broadcast(base.select("avg_duration", "total_trips"))).agg(
-        F.sqrt(F.try_divide(F.sum(gap * gap * n), F.max("total_trips").cast("double") - 1.0)).alias("std_duration")
-    )
-    return base.crossJoin(F.broadcast(spread)).select(
-        F.lit(run_date).alias("date"), "total_trips", "avg_duration", "median_duration", "std_duration",
-        "avg_distance", "total_distance", "total_passengers", "avg_passengers", "avg_speed",
-        "rush_hour_trips", "weekend_trips",
-    )
+    ).select(F.lit(run_date).alias("date"), "*")
 
 
 def vendor_stats_basic(trips: DataFrame) -> DataFrame:

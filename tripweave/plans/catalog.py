@@ -350,7 +350,7 @@ def quality_sample(spark, sf_dir):
 
 @query
 def count_batches(spark, sf_dir):
-    numbered = arrival.count_batches(fx.trips(spark, sf_dir), ARRIVAL)
+    numbered = arrival.count_batches(fx.trips(spark, sf_dir).select(*ARRIVAL, "trip_duration"), ARRIVAL)
     return numbered.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("records"), F.sum("trip_duration").alias("total_duration")
     )
@@ -358,7 +358,7 @@ def count_batches(spark, sf_dir):
 
 @query
 def running_error(spark, sf_dir):
-    tracked = arrival.running_error(fx.speed(spark, sf_dir), ARRIVAL)
+    tracked = arrival.running_error(fx.speed(spark, sf_dir).select(*ARRIVAL, "prediction_error"), ARRIVAL)
     return rounded(tracked.select("id", "processed", "avg_error"), 4)
 
 

@@ -51,6 +51,12 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so a lost executor cannot change what was read once."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and read them back.
+
+    This cuts the lineage: a lost executor cannot change what was computed once, and later reads
+    fetch only the columns they need.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, "rows")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
