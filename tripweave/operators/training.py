@@ -185,7 +185,7 @@ def log_experiment(trained: Trained, training_samples: int, run_date: str, path:
             "run_date": F.lit(run_date),
             "features": F.array(*[F.lit(c) for c in trained.features]),
             "params": F.create_map(*pairs),
-            "training_samples": F.lit(training_samples),
+            "training_samples": F.lit(training_samples).cast("bigint"),
         })
         .withColumnRenamed("samples", "test_samples")
         .write.mode("append").parquet(path)
