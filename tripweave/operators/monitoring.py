@@ -1,16 +1,15 @@
 """Health figures of topic, speed layer and producer, and the verdicts drawn from them.
 
-Each check is a one-row frame; a verdict pairs them by broadcasting single rows.
+Each check is a one-row frame; a verdict reads them side by side.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import settings as S
+from tripweave.functions.rows import side_by_side
 from tripweave.functions.trip import computed_once, seconds_between
 from tripweave.operators.filters import written_since
 
@@ -59,7 +58,7 @@ def consumer_lag(offsets: DataFrame, commits: DataFrame, limit: int = S.MAX_CONS
         .agg(F.sum(behind).alias("lag"), F.sum("committed").alias("committed_total"))
     )
     total = per_group.agg(F.coalesce(F.sum("lag"), F.lit(0)).alias("total_lag"))
-    return per_group.crossJoin(F.broadcast(total)).withColumn("is_acceptable", F.col("total_lag") <= limit)
+    return per_group.withColumn("total_lag", total.scalar()).withColumn("is_acceptable", F.col("total_lag") <= limit)
 
 
 def producer_activity(log: DataFrame, as_of: Column, limit: int = S.PRODUCER_ACTIVE_SECONDS) -> DataFrame:
@@ -164,23 +163,15 @@ def speed_record_quality(
 
 # -- verdicts --------------------------------------------------------------------------------
 
-def _side_by_side(frames: list[DataFrame]) -> DataFrame:
-    """One-row frames next to each other."""
-    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), frames)
-
-
 def circuit_breaker(checks: dict[str, tuple[DataFrame, str] | None]) -> DataFrame:
     """Verdict over named checks, each a one-row frame and the name of its boolean column.
 
     A check without a frame, or with a null verdict, counts as healthy.
     """
-    given = {name: c for name, c in checks.items() if c is not None}
-    row = _side_by_side([
-        frame.agg(F.max(F.col(verdict).cast("int")).alias(name)) for name, (frame, verdict) in given.items()
-    ])
-    failed = F.array_compact(F.array(*[
-        F.when(F.col(name) == 0, F.lit(name)) if name in given else F.lit(None).cast("string") for name in checks
-    ]))
+    given = {name: frame.select(F.col(verdict).alias("ok")) for name, (frame, verdict) in
+             ((n, c) for n, c in checks.items() if c is not None)}
+    row = side_by_side(given)
+    failed = F.array_compact(F.array(*[F.when(~F.col(f"{name}.ok"), F.lit(name)) for name in given]))
     ok = F.size("failed") == 0
     return row.select(failed.alias("failed")).select(
         F.concat_ws(", ", "failed").alias("failed_checks"),
@@ -202,13 +193,10 @@ def alerts(verdict: DataFrame) -> DataFrame:
 
 def dashboard_document(sections: dict[str, dict[str, DataFrame]], stamp: Column) -> DataFrame:
     """One JSON document with a nested object per section, from one-row frames."""
-    packed, layout = [], []
-    for section, parts in sections.items():
-        names = []
-        for name, frame in parts.items():
-            alias = f"{section}_{name}"
-            packed.append(frame.select(F.struct(*frame.columns).alias(alias)))
-            names.append(F.col(alias).alias(name))
-        layout.append(F.struct(*names).alias(section))
+    parts = {f"{section}_{name}": frame for section, named in sections.items() for name, frame in named.items()}
+    layout = [
+        F.struct(*[F.col(f"{section}_{name}").alias(name) for name in named]).alias(section)
+        for section, named in sections.items()
+    ]
     body = F.struct(stamp.alias("generated_at"), *layout)
-    return _side_by_side(packed).select(F.to_json(body, {"ignoreNullFields": "false"}).alias("document"))
+    return side_by_side(parts).select(F.to_json(body, {"ignoreNullFields": "false"}).alias("document"))

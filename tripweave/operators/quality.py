@@ -62,11 +62,26 @@ def null_percentages(facts: DataFrame) -> DataFrame:
     return facts.select(F.inline(F.array(*pairs)))
 
 
+def _score() -> Column:
+    total = reduce(lambda a, b: a + b, [F.coalesce(_null_pct(c), F.lit(0.0)) for c in REQUIRED_COLUMNS])
+    return F.greatest(F.lit(0.0), F.lit(1.0) - total / F.lit(len(REQUIRED_COLUMNS) * 100.0))
+
+
+def _anomaly_share() -> Column:
+    share = F.try_divide(F.col("total_anomalies").cast("double"), F.col("row_count").cast("double"))
+    return F.coalesce(share * F.lit(100.0), F.lit(0.0))
+
+
 def quality_score(facts: DataFrame) -> DataFrame:
     """(row_count, quality_score)."""
-    total = reduce(lambda a, b: a + b, [F.coalesce(_null_pct(c), F.lit(0.0)) for c in REQUIRED_COLUMNS])
-    score = F.greatest(F.lit(0.0), F.lit(1.0) - total / F.lit(len(REQUIRED_COLUMNS) * 100.0))
-    return facts.select("row_count", score.alias("quality_score"))
+    return facts.select("row_count", _score().alias("quality_score"))
+
+
+def checked(facts: DataFrame) -> DataFrame:
+    """One row with what the run report says of validation, anomalies and cleaning."""
+    return facts.select(
+        "row_count", _score().alias("quality_score"), _anomaly_share().alias("anomaly_percentage"), "clean_count"
+    )
 
 
 def quality_gate(facts: DataFrame, threshold: float = S.QUALITY_THRESHOLD) -> DataFrame:
@@ -77,10 +92,7 @@ def anomaly_counts(facts: DataFrame) -> DataFrame:
     """Counts per kind; the total counts a row once even if several kinds apply."""
     return facts.select(
         "geographic_anomalies", "duration_anomalies", "passenger_anomalies", "total_anomalies",
-        F.coalesce(
-            F.try_divide(F.col("total_anomalies").cast("double"), F.col("row_count").cast("double")) * F.lit(100.0),
-            F.lit(0.0),
-        ).alias("anomaly_percentage"),
+        _anomaly_share().alias("anomaly_percentage"),
     )
 
 
@@ -104,10 +116,7 @@ def data_profile(trips: DataFrame) -> DataFrame:
         F.try_divide(_holds(outside).cast("double") * 100.0, rows).alias("outliers_pct"),
     )
     middle = frequency_median(frequencies(trips, "trip_duration"), "trip_duration", out="median_duration")
-    return plain.crossJoin(F.broadcast(middle)).select(
-        "total_records", "min_pickup", "max_pickup", "mean_duration", "median_duration",
-        "std_duration", "min_duration", "max_duration", "outliers_pct",
-    )
+    return plain.withColumn("median_duration", middle.scalar())
 
 
 def data_distributions(trips: DataFrame) -> DataFrame:

@@ -2,51 +2,54 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.functions.rows import side_by_side
+
 _METRICS = {
     "row_count": "bigint", "quality_score": "double", "anomaly_percentage": "double",
     "records_processed": "bigint", "r2_score": "double", "rmse": "double", "discrepancies": "string",
 }
 
 
-def _stage(frame: DataFrame, name: str, **metrics: str) -> DataFrame:
-    status = F.col("status") if "status" in frame.columns else F.lit("success")
-    return frame.select(
+def _stage(name: str, status: Column, present: Column, metrics: dict[str, Column]) -> Column:
+    """The report row of one stage, or null if the stage is not present."""
+    row = F.struct(
         F.lit(name).alias("stage"), status.alias("status"),
-        *[
-            (F.col(metrics[m]) if m in metrics else F.lit(None)).cast(t).alias(m)
-            for m, t in _METRICS.items()
-        ],
+        *[metrics.get(m, F.lit(None)).cast(t).alias(m) for m, t in _METRICS.items()],
     )
+    return F.when(present, row)
 
 
 def run_report(
-    validation: DataFrame | None = None,
-    anomalies: DataFrame | None = None,
-    cleaned: DataFrame | None = None,
-    model: DataFrame | None = None,
-    reconciliation: DataFrame | None = None,
+    checked: DataFrame | None = None, model: DataFrame | None = None, reconciliation: DataFrame | None = None
 ) -> DataFrame:
-    """(stage, status, metrics...). A stage that did not run, or cleaned no row, is absent."""
-    stages = []
-    if validation is not None:
-        stages.append(_stage(validation, "data_validation", row_count="row_count", quality_score="quality_score"))
-    if anomalies is not None:
-        stages.append(_stage(anomalies, "anomaly_detection", anomaly_percentage="anomaly_percentage"))
-    if cleaned is not None:
-        some = cleaned.filter(F.col("clean_count") > 0)
-        stages.append(_stage(some, "batch_processing", records_processed="clean_count"))
+    """(stage, status, metrics...) from one-row frames; what did not run is absent.
+
+    ``checked`` may carry ``row_count`` and ``quality_score``, ``anomaly_percentage`` and
+    ``clean_count``; each stands for one stage. Every frame is computed once.
+    """
+    given = {n: f for n, f in (("c", checked), ("m", model), ("r", reconciliation)) if f is not None}
+    if not given:
+        raise ValueError("a report needs at least one stage")
+    success, stages = F.lit("success"), []
+    if checked is not None and "quality_score" in checked.columns:
+        stages.append(_stage("data_validation", success, F.col("c").isNotNull(), {
+            "row_count": F.col("c.row_count"), "quality_score": F.col("c.quality_score")}))
+    if checked is not None and "anomaly_percentage" in checked.columns:
+        stages.append(_stage("anomaly_detection", success, F.col("c").isNotNull(), {
+            "anomaly_percentage": F.col("c.anomaly_percentage")}))
+    if checked is not None and "clean_count" in checked.columns:
+        stages.append(_stage("batch_processing", success, F.col("c.clean_count") > 0, {
+            "records_processed": F.col("c.clean_count")}))
     if model is not None:
-        stages.append(_stage(model, "ml_pipeline", r2_score="r2", rmse="rmse"))
+        stages.append(_stage("ml_pipeline", success, F.col("m").isNotNull(), {
+            "r2_score": F.col("m.r2"), "rmse": F.col("m.rmse")}))
     if reconciliation is not None:
-        stages.append(_stage(reconciliation, "reconciliation", discrepancies="discrepancies"))
-    if not stages:
-        raise ValueError("a report needs at least one stage")
-    return reduce(DataFrame.unionByName, stages)
+        stages.append(_stage("reconciliation", F.col("r.status"), F.col("r").isNotNull(), {
+            "discrepancies": F.col("r.discrepancies")}))
+    return side_by_side(given).select(F.inline(F.array_compact(F.array(*stages))))
 
 
 def report_document(report: DataFrame, run_date: str, generated_at: str) -> DataFrame:

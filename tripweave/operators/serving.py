@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import settings as S
+from tripweave.functions.rows import side_by_side
 from tripweave.functions.trip import vendor_label
 from tripweave.operators.filters import within_map
 from tripweave.operators.quality import value_counts
@@ -86,29 +87,31 @@ def _speed_summary(speed: DataFrame) -> DataFrame:
     )
 
 
+def _both(speed: DataFrame, daily: DataFrame) -> DataFrame:
+    """One row with the summaries of both layers as structs ``s`` and ``b``."""
+    return side_by_side({"s": _speed_summary(speed), "b": daily})
+
+
 def combined_view(speed: DataFrame, daily: DataFrame) -> DataFrame:
-    """One row with both layers' headline figures; ``daily`` is the one-row daily summary."""
-    batch = daily.agg(
-        F.max("total_trips").alias("batch_records"),
-        F.max("avg_distance").alias("batch_avg_distance"),
-        F.max("avg_duration").alias("batch_avg_duration"),
+    """One row with both layers' headline figures; ``daily`` is the daily summary, or nothing."""
+    return _both(speed, daily).select(
+        "s.speed_records", "s.speed_avg_distance", "s.speed_avg_predicted",
+        F.col("b.total_trips").alias("batch_records"),
+        F.col("b.avg_distance").alias("batch_avg_distance"),
+        F.col("b.avg_duration").alias("batch_avg_duration"),
     )
-    return _speed_summary(speed).drop("speed_avg_duration").crossJoin(F.broadcast(batch))
 
 
 def layer_comparison(speed: DataFrame, daily: DataFrame) -> DataFrame:
     """(metric, speed_layer, batch_layer)."""
-    batch = daily.agg(F.max("avg_distance").alias("bd"), F.max("avg_duration").alias("bt"))
-    return _speed_summary(speed).crossJoin(F.broadcast(batch)).select(F.inline(F.array(
-        F.struct(
-            F.lit("Avg Distance (km)").alias("metric"),
-            F.col("speed_avg_distance").alias("speed_layer"), F.col("bd").alias("batch_layer"),
-        ),
-        F.struct(
-            F.lit("Avg Duration (sec)").alias("metric"),
-            F.col("speed_avg_duration").alias("speed_layer"), F.col("bt").alias("batch_layer"),
-        ),
-    )))
+    lines = [
+        ("Avg Distance (km)", "s.speed_avg_distance", "b.avg_distance"),
+        ("Avg Duration (sec)", "s.speed_avg_duration", "b.avg_duration"),
+    ]
+    return _both(speed, daily).select(F.inline(F.array(*[
+        F.struct(F.lit(label).alias("metric"), F.col(live).alias("speed_layer"), F.col(batch).alias("batch_layer"))
+        for label, live, batch in lines
+    ])))
 
 
 def reconcile_layers(
@@ -118,17 +121,20 @@ def reconcile_layers(
 
     ``daily`` holds the summary of ``run_date`` or nothing. A speed row without a duration counts as 0.
     """
-    batch = daily.agg(F.max("total_trips").alias("batch_trips"), F.max("avg_duration").alias("batch_avg_duration"))
+    batch = daily.select("total_trips", "avg_duration")
     live = speed.agg(
         F.count(F.lit(1)).alias("speed_records"),
         F.avg(F.coalesce(F.col("trip_duration"), F.lit(0))).alias("speed_avg_duration"),
     )
-    b, s = F.col("batch_avg_duration"), F.col("speed_avg_duration")
+    b, s = F.col("b.avg_duration"), F.col("s.speed_avg_duration")
     diff = F.try_divide(F.abs(b - s), b) * F.lit(100.0)
     over = F.col("diff_pct") > max_diff_pct
     return (
-        batch.crossJoin(F.broadcast(live))
-        .withColumn("diff_pct", diff)
+        side_by_side({"b": batch, "s": live})
+        .select(
+            F.lit(run_date).alias("date"), F.col("b.total_trips").alias("batch_trips"),
+            b.alias("batch_avg_duration"), "s.speed_records", s.alias("speed_avg_duration"), diff.alias("diff_pct"),
+        )
         .withColumn(
             "status",
             F.when(F.col("diff_pct").isNull(), "incomplete_data")
@@ -138,5 +144,4 @@ def reconcile_layers(
             "discrepancies",
             F.when(over, F.format_string("Average duration differs by %.2f%%", F.col("diff_pct"))).otherwise(""),
         )
-        .select(F.lit(run_date).alias("date"), "*")
     )

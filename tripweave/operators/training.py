@@ -11,6 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.functions.rows import the_row
 from tripweave.functions.trip import with_trip_features
 from tripweave.operators.filters import training_rows
 from tripweave.operators.scoring import regression_metrics
@@ -56,9 +57,9 @@ def scaling(rows: DataFrame, features: list[str]) -> DataFrame:
 
 def scale_with(rows: DataFrame, moments: DataFrame, features: list[str]) -> DataFrame:
     """Features replaced by their standard scores under a one-row frame of moments."""
-    joined = rows.crossJoin(F.broadcast(moments))
-    scores = [((F.col(c) - F.col(f"mean_{c}")) / F.col(f"std_{c}")).alias(c) for c in features]
-    return joined.select(*[c for c in rows.columns if c not in features], *scores)
+    known = the_row(moments)
+    scores = [((F.col(c) - known[f"mean_{c}"]) / known[f"std_{c}"]).alias(c) for c in features]
+    return rows.select(*[c for c in rows.columns if c not in features], *scores)
 
 
 def _prepare(features: list[str], moments: dict[str, float] | None) -> list:

@@ -72,9 +72,7 @@ def run_batch(
         daily = view_store.read_view(spark, f"{base}/views", "daily_summary", run_date)
         reconciliation = serving.reconcile_layers(daily, speed_files.read_batches(spark, speed_base), run_date)
 
-    report = reporting.run_report(
-        quality.quality_score(facts), quality.anomaly_counts(facts), facts, metrics, reconciliation
-    )
+    report = reporting.run_report(quality.checked(facts), metrics, reconciliation)
     paths["report"] = documents.write_document(
         reporting.report_document(report, run_date, generated_at), f"{base}/reports/run_date={run_date}"
     )

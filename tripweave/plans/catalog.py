@@ -613,7 +613,7 @@ def _report(spark, sf_dir) -> DataFrame:
     facts = quality.raw_facts(fx.trips(spark, sf_dir))
     daily = views.daily_summary(fx.clean(spark, sf_dir), fx.RUN_DATE)
     return reporting.run_report(
-        quality.quality_score(facts), quality.anomaly_counts(facts), facts, _test_metrics(spark, sf_dir),
+        quality.checked(facts), _test_metrics(spark, sf_dir),
         serving.reconcile_layers(daily, fx.trips(spark, sf_dir), fx.RUN_DATE),
     )
 
@@ -631,7 +631,7 @@ def completion_summary(spark, sf_dir):
 @query
 def report_document(spark, sf_dir):
     facts = quality.raw_facts(fx.trips(spark, sf_dir))
-    report = rounded(reporting.run_report(quality.quality_score(facts), quality.anomaly_counts(facts), facts), 4)
+    report = rounded(reporting.run_report(quality.checked(facts)), 4)
     path = fresh_dir(spark, "report")
     documents.write_document(reporting.report_document(report, fx.RUN_DATE, fx.AS_OF), path)
     return spark.read.text(path).select(F.col("value").alias("document"))

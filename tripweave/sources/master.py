@@ -27,8 +27,9 @@ def master_batch_id(clean: DataFrame, run_date: str) -> DataFrame:
 
 def master_full(clean: DataFrame, run_date: str) -> DataFrame:
     """Cleaned trips with features as typed records stamped with date and batch id."""
-    stamp = master_batch_id(clean, run_date).select("ingestion_date", "batch_id")
-    return conform(clean.crossJoin(F.broadcast(stamp)), MASTER_FULL_SCHEMA, _DEFAULTS)
+    batch_id = master_batch_id(clean, run_date).select("batch_id").scalar()
+    stamped = clean.withColumns({"ingestion_date": F.lit(run_date), "batch_id": batch_id})
+    return conform(stamped, MASTER_FULL_SCHEMA, _DEFAULTS)
 
 
 def write_master(records: DataFrame, path: str, fmt: str = "parquet") -> str:
