@@ -135,3 +135,28 @@ def test_newest_batches_by_number_and_by_time(spark, dirs):
     assert speed_files.recent_batch_ids(spark, dirs["out"], 2) == [9, 8]
     assert speed_files.recent_batch_ids(spark, dirs["out"], 2, by="modified") == [8, 9]
     assert speed_files.read_recent(spark, [dirs["out"]], 2).select("batch_id").distinct().count() == 2
+
+
+def test_processing_time_trigger(spark, dirs):
+    deliver(spark, dirs, [line(1), line(2)])
+    stream = messages.read_folder_stream(spark, dirs["log"])
+    query = speed_layer.start_speed_layer(stream, dirs["out"], dirs["progress"], LINE, trigger="1 second")
+    try:
+        query.processAllAvailable()
+        deliver(spark, dirs, [line(3)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = speed_files.read_batches(spark, dirs["out"])
+    assert sorted(r.id for r in rows.collect()) == ["t1", "t2", "t3"]
+    assert rows.select("batch_id").distinct().count() == 2
+
+
+def test_late_rows_are_dropped(spark, dirs):
+    for lines in ([line(1, hour=1), line(2, hour=23)], [line(3, hour=2)], [line(4, hour=23)]):
+        deliver(spark, dirs, lines)
+        stream = messages.read_folder_stream(spark, dirs["log"])
+        speed_layer.start_windowed_stats(
+            stream, dirs["out"], dirs["progress"], trigger=None, width="1 hour", delay="1 hour").awaitTermination()
+    rows = spark.read.parquet(dirs["out"]).collect()
+    assert [(r.window_start.hour, r.trip_count) for r in rows] == [(1, 1)]

@@ -17,7 +17,7 @@ from tripweave.operators.filters import training_rows
 from tripweave.operators.scoring import regression_metrics
 from tripweave.operators.statistics import fill_with, medians
 from tripweave.schemas import BATCH_FEATURES, TRAINING_FEATURES
-from tripweave.session import shared_dir
+from tripweave.session import materialize, shared_dir
 
 LABEL = "trip_duration"
 SEED = 42
@@ -143,18 +143,13 @@ def train_linear(trips: DataFrame) -> Trained:
 
 
 def train_all(trips: DataFrame, trees: int = 100, depth: int = 8) -> list[Trained]:
-    """All candidate models on one split of one prepared table."""
-    prepared = training_features(trips).persist()
-    train, test = train_test_split(prepared)
-    try:
-        return [
-            fit_model(train, test, linear(), "LinearRegression", "linear", scaled=True),
-            fit_model(train, test, forest(depth=depth), "RandomForest", "forest", scaled=True),
-            fit_model(train, test, gbt(trees, depth), "GradientBoosting", "gbt"),
-        ]
-    finally:
-        # The metrics are lazy; they read the prepared rows again from their source.
-        prepared.unpersist()
+    """All candidate models on one split of one prepared table, which is written once and read by each."""
+    train, test = train_test_split(materialize(training_features(trips)))
+    return [
+        fit_model(train, test, linear(), "LinearRegression", "linear", scaled=True),
+        fit_model(train, test, forest(depth=depth), "RandomForest", "forest", scaled=True),
+        fit_model(train, test, gbt(trees, depth), "GradientBoosting", "gbt"),
+    ]
 
 
 # -- comparison and storage ------------------------------------------------------------------

@@ -18,6 +18,8 @@ def build_session(app_name: str = "tripweave", master: str | None = None, **conf
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # The JVM interprets methods above this size; plain operators are faster than that.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
