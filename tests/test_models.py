@@ -14,7 +14,7 @@ def linear(spark):
     return training.train_linear(fx.trips(spark, "/root/testdata/sf0.001"))
 
 
-def test_defaults_are_the_source_systems():
+def test_defaults_are_the_source_systems(spark):
     stage = training.gbt()
     assert (stage.getMaxIter(), stage.getMaxDepth(), stage.getStepSize(), stage.getSeed()) == (100, 8, 0.1, 42)
 
