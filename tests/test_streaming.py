@@ -160,3 +160,11 @@ def test_late_rows_are_dropped(spark, dirs):
             stream, dirs["out"], dirs["progress"], trigger=None, width="1 hour", delay="1 hour").awaitTermination()
     rows = spark.read.parquet(dirs["out"]).collect()
     assert [(r.window_start.hour, r.trip_count) for r in rows] == [(1, 1)]
+
+
+def test_offsets_of_a_progress_report(spark):
+    ends = messages.offsets_from_progress(spark, '{"trips":{"0":100,"1":50}}', "end_offset")
+    read = messages.offsets_from_progress(spark, '{"trips":{"0":90,"1":50}}', "committed").withColumn("group_id", F.lit("g"))
+    from tripweave.operators.monitoring import consumer_lag
+
+    assert consumer_lag(ends, read).first().lag == 10

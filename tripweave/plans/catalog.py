@@ -227,13 +227,14 @@ def clean_trips(spark, sf_dir):
 
 @query
 def retain_recent(spark, sf_dir):
-    kept = filters.retain_recent(fx.stamped(fx.trips(spark, sf_dir)), "processed_time", _as_of())
+    kept = filters.retain_recent(
+        fx.stamped(fx.trips(spark, sf_dir, "id", "pickup_datetime")), "processed_time", _as_of())
     return kept.select("id", _text("processed_time"))
 
 
 @query
 def pickup_map_points(spark, sf_dir):
-    return rounded(serving.pickup_map_points(fx.trips(spark, sf_dir)))
+    return rounded(serving.pickup_map_points(fx.trips(spark, sf_dir, "pickup_latitude", "pickup_longitude")))
 
 
 # -- batch views -----------------------------------------------------------------------------
@@ -288,7 +289,7 @@ def data_profile(spark, sf_dir):
 
 @query
 def data_distributions(spark, sf_dir):
-    return quality.data_distributions(fx.trips(spark, sf_dir))
+    return quality.data_distributions(fx.trips(spark, sf_dir, "vendor_id", "passenger_count", "pickup_datetime"))
 
 
 @query
@@ -345,7 +346,8 @@ def replay_slice(spark, sf_dir):
 
 @query
 def quality_sample(spark, sf_dir):
-    return monitoring.quality_sample(fx.stamped(fx.trips(spark, sf_dir)), "batch_id").select("batch_id", "id")
+    return monitoring.quality_sample(
+        fx.stamped(fx.trips(spark, sf_dir, "id", "pickup_datetime")), "batch_id").select("batch_id", "id")
 
 
 @query
@@ -376,12 +378,12 @@ def prediction_accuracy(spark, sf_dir):
 
 @query
 def trips_by_hour(spark, sf_dir):
-    return serving.trips_by(with_time_parts(fx.trips(spark, sf_dir)), "hour")
+    return serving.trips_by(with_time_parts(fx.trips(spark, sf_dir, "pickup_datetime")), "hour")
 
 
 @query
 def trips_by_vendor(spark, sf_dir):
-    return serving.trips_by(fx.trips(spark, sf_dir), "vendor_id")
+    return serving.trips_by(fx.trips(spark, sf_dir, "vendor_id"), "vendor_id")
 
 
 @query
@@ -433,7 +435,7 @@ def producer_activity(spark, sf_dir):
 
 def _writes(spark, sf_dir) -> DataFrame:
     """Processing time and batch of every trip; monitoring needs no scores."""
-    return fx.stamped(fx.trips(spark, sf_dir)).select("batch_id", "processed_time")
+    return fx.stamped(fx.trips(spark, sf_dir, "pickup_datetime")).select("batch_id", "processed_time")
 
 
 @query

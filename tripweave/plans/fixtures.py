@@ -62,14 +62,20 @@ def timestamp(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived trips. The long duration term sits in a generator, so that a filter on it is not
-    repeated in the scan stage of every query, which would outgrow what the JVM compiles."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "*", F.inline(F.array(F.struct(F.expr(TRIP_COLUMNS["trip_duration"]).alias("trip_duration"))))
-    )
-    columns = {name: "trip_duration" if name == "trip_duration" else expr for name, expr in TRIP_COLUMNS.items()}
-    return events.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
+def trips(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The derived trips, or only some of their columns.
+
+    The long duration term sits in a generator, so that a filter on it is not repeated in the scan
+    stage of every query, which would outgrow what the JVM compiles. A generator is not pruned:
+    queries that need no duration name their columns.
+    """
+    terms = {name: TRIP_COLUMNS[name] for name in columns or TRIP_COLUMNS}
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if "trip_duration" in terms:
+        duration = F.expr(terms["trip_duration"]).alias("trip_duration")
+        events = events.select("*", F.inline(F.array(F.struct(duration))))
+        terms["trip_duration"] = "trip_duration"
+    return events.selectExpr(*[f"{expr} AS {name}" for name, expr in terms.items()])
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +123,7 @@ def message_halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message log without offsets: one topic partition per vendor."""
-    return trips(spark, sf_dir).select(
+    return trips(spark, sf_dir, "id", "vendor_id", "pickup_datetime").select(
         F.lit(TOPIC).alias("topic"), (F.col("vendor_id") - 1).alias("partition"),
         F.col("pickup_datetime").alias("timestamp"), "id",
     )

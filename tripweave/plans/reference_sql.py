@@ -505,6 +505,15 @@ _BODIES = {
         "FROM trips WHERE trip_duration BETWEEN 60 AND 7200"
     ),
     "run_report": "SELECT * FROM stages",
+    "report_document": (
+        f"SELECT CAST(to_json(struct_pack(execution_date := '{RUN_DATE}', generated_at := '{AS_OF}', "
+        "status := 'completed', stages := struct_pack("
+        "anomaly_detection := (SELECT struct_pack(status := 'success', "
+        "anomaly_percentage := round(total_anomalies * 100 / n::DOUBLE, 4)) FROM anomalies), "
+        "batch_processing := (SELECT struct_pack(status := 'success', records_processed := count(*)) FROM clean), "
+        "data_validation := (SELECT struct_pack(status := 'success', row_count := row_count, "
+        "quality_score := round(quality_score, 4)) FROM quality)))) AS VARCHAR) AS document"
+    ),
     "completion_summary": f"SELECT 'Run complete - {RUN_DATE}' AS subject, stage, status FROM stages",
 }
 

@@ -25,13 +25,26 @@ def read_topic_stream(spark: SparkSession, servers: str, topic: str, **options:
     )
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Batch frame of everything a Kafka topic holds, for offset and activity checks."""
-    return (
-        spark.read.format("kafka")
-        .options(**{"kafka.bootstrap.servers": servers, "subscribe": topic})
-        .load()
-        .select("topic", "partition", "offset", "timestamp", "value")
+def read_topic(spark: SparkSession, servers: str, topic: str, since_ms: int | None = None) -> DataFrame:
+    """Batch frame of a Kafka topic, or of its messages since a time, which is all an activity check needs."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
+    if since_ms is not None:
+        options |= {"startingTimestamp": str(since_ms), "startingOffsetsByTimestampStrategy": "latest"}
+    return spark.read.format("kafka").options(**options).load().select(
+        "topic", "partition", "offset", "timestamp", "value"
+    )
+
+
+def offsets_from_progress(spark: SparkSession, text: str, column: str) -> DataFrame:
+    """(topic, partition, <column>) of an offset text such as a streaming query's progress reports.
+
+    ``latestOffset`` of a Kafka source gives the ends of its topic and ``endOffset`` what the query
+    has read, so lag and message counts need no scan of the topic.
+    """
+    per_topic = F.from_json(F.col("text"), "map<string,map<string,bigint>>")
+    topics = spark.createDataFrame([(text,)], "text string").select(F.explode(per_topic).alias("topic", "p"))
+    return topics.select("topic", F.explode("p").alias("partition", column)).withColumn(
+        "partition", F.col("partition").cast("int")
     )
 
 
