@@ -102,7 +102,10 @@ def fit_model(
     moments = scaling(train, features).first().asDict() if scaled else None
     model = Pipeline(stages=[*_prepare(features, moments), regressor]).fit(train)
     params = {p.name: str(v) for p, v in regressor.extractParamMap().items()}
-    return Trained(name, kind, model, features, params, evaluate(model, test))
+    measured = evaluate(model, test)
+    # One row, kept as such: ranking and logging it must not score the test rows again.
+    metrics = train.sparkSession.createDataFrame([measured.first()], measured.schema)
+    return Trained(name, kind, model, features, params, metrics)
 
 
 def gbt(trees: int = 100, depth: int = 8, step: float = 0.1, seed: int = SEED) -> GBTRegressor:

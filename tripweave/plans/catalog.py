@@ -83,6 +83,15 @@ def stream_ingest(spark, sf_dir):
     return rounded(spark.read.parquet(out))
 
 
+@query
+def stream_quarantine(spark, sf_dir):
+    log, out = fresh_dir(spark, "topic"), fresh_dir(spark, "quarantine")
+    messages.append_to_folder(fx.messages(spark, sf_dir), log)
+    stream = messages.read_folder_stream(spark, log)
+    speed_layer.start_quarantine(stream, out, fresh_dir(spark, "progress"), trigger=None).awaitTermination()
+    return spark.read.text(out)
+
+
 @query
 def stream_restart(spark, sf_dir):
     log, out, progress = (fresh_dir(spark, n) for n in ("topic", "speed", "progress"))

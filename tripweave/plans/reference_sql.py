@@ -231,6 +231,10 @@ _BODIES = {
         f"SELECT id, vendor_id, pickup_datetime, original_pickup_datetime, passenger_count, {_round(_COORDINATES)}, "
         "store_and_fwd_flag, trip_duration FROM decoded"
     ),
+    "stream_quarantine": (
+        "SELECT substr('{\"id\":\"' || id || '\",\"vendor_id\":' || vendor_id || ',\"pickup', 1, 20) AS value "
+        "FROM msgs WHERE kind = 'malformed'"
+    ),
     "stream_restart": (
         "SELECT half AS batch_id, count(*) AS records, CAST(sum(trip_duration) AS BIGINT) AS total_duration "
         "FROM decoded GROUP BY half"

@@ -37,10 +37,13 @@ def write_batches(rows: DataFrame, base: str) -> str:
 
 
 def read_batches(spark: SparkSession, base: str) -> DataFrame:
-    """All rows with ``batch_id`` taken from the folder; unreadable lines are dropped."""
+    """All rows with ``batch_id`` taken from the folder.
+
+    Unreadable lines are dropped, and files that retention removes meanwhile are passed over.
+    """
     return (
         spark.read.schema(SPEED_SCHEMA)
-        .options(basePath=base, mode="DROPMALFORMED")
+        .options(basePath=base, mode="DROPMALFORMED", ignoreMissingFiles=True)
         .json(f"{base}/batch_id=*")
     )
 

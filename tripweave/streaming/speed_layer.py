@@ -13,7 +13,7 @@ from tripweave.functions.trip import parse_pickup, with_distance, with_time_part
 from tripweave.operators.scoring import score
 from tripweave.schemas import SPEED_SCHEMA
 from tripweave.sources import speed_files
-from tripweave.sources.messages import decode
+from tripweave.sources.messages import decode, rejected
 
 TRIPS_VIEW = "speed_layer_trips"
 HOURLY_VIEW = "speed_layer_hourly_stats"
@@ -91,6 +91,15 @@ def start_ingest(messages: DataFrame, out: str, checkpoint: str, trigger: str |
     return _triggered(writer, trigger).start()
 
 
+def start_quarantine(messages: DataFrame, out: str, checkpoint: str, trigger: str | None = S.TRIGGER) -> StreamingQuery:
+    """Keep the values that do not parse as text, for later inspection; run beside the speed layer."""
+    writer = (
+        rejected(messages).writeStream.outputMode("append").format("text")
+        .option("path", out).option("checkpointLocation", checkpoint)
+    )
+    return _triggered(writer, trigger).start()
+
+
 def windowed_stats(trips: DataFrame, ts: str = "pickup_datetime", width: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Trips per tumbling window of event time; rows later than ``delay`` behind the newest are dropped."""
     timed = trips.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", delay)
