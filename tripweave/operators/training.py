@@ -127,9 +127,14 @@ def evaluate(model, rows: DataFrame) -> DataFrame:
     return regression_metrics(model.transform(rows), LABEL, "prediction")
 
 
+def _prepared(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows with features. They are written once, since fitting reads them many times."""
+    return train_test_split(materialize(training_features(trips)))
+
+
 def train_gbt(trips: DataFrame, trees: int = 100, depth: int = 8) -> Trained:
     """The stand-alone boosted model: nine features, unscaled."""
-    train, test = train_test_split(training_features(trips))
+    train, test = _prepared(trips)
     return fit_model(train, test, gbt(trees, depth), "GradientBoosting", "gbt")
 
 
@@ -141,13 +146,13 @@ def train_batch_gbt(clean: DataFrame, trees: int = 100, depth: int = 6) -> Train
 
 def train_linear(trips: DataFrame) -> Trained:
     """The linear model on nine scaled features."""
-    train, test = train_test_split(training_features(trips))
+    train, test = _prepared(trips)
     return fit_model(train, test, linear(), "LinearRegression", "linear", scaled=True)
 
 
 def train_all(trips: DataFrame, trees: int = 100, depth: int = 8) -> list[Trained]:
-    """All candidate models on one split of one prepared table, which is written once and read by each."""
-    train, test = train_test_split(materialize(training_features(trips)))
+    """All candidate models on one split of one prepared table."""
+    train, test = _prepared(trips)
     return [
         fit_model(train, test, linear(), "LinearRegression", "linear", scaled=True),
         fit_model(train, test, forest(depth=depth), "RandomForest", "forest", scaled=True),
