@@ -194,10 +194,10 @@ def aligned(a: list, b: list) -> list:
             out += _merge_same(a[i:j], b[k:m])
             continue
         left, right = a[i:j], b[k:m]
-        body = next((n[1] for n in left + right if n[0] == "+"), None)
         bare = lambda nodes: nodes[0][1] if len(nodes) == 1 and nodes[0][0] in "?+" else nodes
-        if body and left and right and list(map(_sign, bare(left))) == list(map(_sign, bare(right))):
-            out.append(["+", _merge_same(bare(left), bare(right))])
+        kinds = {n[0] for n in left + right if n[0] in "?+"}
+        if kinds and left and right and list(map(_sign, bare(left))) == list(map(_sign, bare(right))):
+            out.append(["+" if "+" in kinds else "?", _merge_same(bare(left), bare(right))])
         elif len(left) == len(right) == 1 and left[0][0] in "?+" and right[0][0] in "?+":
             out.append(["+" if "+" in (left[0][0], right[0][0]) else "?", aligned(left[0][1], right[0][1])])
         else:

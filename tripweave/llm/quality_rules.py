@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.functions.trip import computed_once
 from tripweave.llm.common import Scratch, packed, text_of, unpacked
 
 #: Fixed values of the base rule.
@@ -218,12 +219,13 @@ def apply_rules(docs: DataFrame, rules: DecisionList) -> DataFrame:
     gives an empty result.
     """
     rows = with_stats(docs.select("doc_id", text_of().alias("text")))
-    return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"),
-        rules.verdict().alias("rule")).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
+    return computed_once(
+        rows, *[F.col(c) for c in ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        base_failed().alias("base_failed"), rules.verdict().alias("rule")).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
 
 
 def keep_good(docs: DataFrame, rules: DecisionList) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they are."""
     rows = with_stats(packed(docs, text=text_of()))
-    return unpacked(rows.where(~base_failed() & (rules.verdict() == 0)))
+    # A plain filter would be moved below the statistics and take a copy of each with it.
+    return unpacked(computed_once(rows, F.col("row"), (~base_failed() & (rules.verdict() == 0)).alias("good")).where("good"))

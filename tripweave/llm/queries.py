@@ -104,22 +104,22 @@ def op10_decontamination(spark, sf_dir):
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_NEXT = " || ' ' || ".join(["x", *[f"lead(x, {i}) OVER own" for i in range(1, 20)]])
+
 ORACLE_SQL["op3_substring_dedup"] = rf"""
 WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-windows AS (
-  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs WHERE len(w) >= 20)),
-later AS (
-  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1),
-gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later) GROUP BY doc_id),
-kept AS (
-  SELECT d.doc_id, w, coalesce(ps, []::BIGINT[]) AS ps FROM docs d LEFT JOIN gone g ON d.doc_id = g.doc_id),
 words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM docs),
+windows AS (SELECT doc_id, p, {_NEXT} AS g FROM words WINDOW own AS (PARTITION BY doc_id ORDER BY p)),
+starts AS (
+  SELECT doc_id, p, g IS NOT NULL AND row_number() OVER (PARTITION BY g ORDER BY doc_id, p) > 1 AS later FROM windows),
+gone AS (
+  SELECT doc_id, p, max(CASE WHEN later THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS g
+  FROM starts),
 texts AS (
-  SELECT words.doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM words
-  ANTI JOIN (SELECT doc_id, unnest(ps) AS p FROM gone) g ON words.doc_id = g.doc_id AND words.p = g.p GROUP BY words.doc_id)
-SELECT k.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(ps) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
-FROM kept k LEFT JOIN texts ON k.doc_id = texts.doc_id"""
+  SELECT words.doc_id, sum(g) AS n, string_agg(CASE WHEN g = 0 THEN x END, ' ' ORDER BY words.p) AS t
+  FROM words JOIN gone ON words.doc_id = gone.doc_id AND words.p = gone.p GROUP BY words.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM docs d LEFT JOIN texts ON d.doc_id = texts.doc_id"""
 
 ORACLE_SQL["op4_line_dedup"] = """
 WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),

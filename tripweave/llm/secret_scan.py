@@ -18,6 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.functions.trip import computed_once
 from tripweave.llm.common import text_of
 
 #: The pattern of each kind, in the order of the kinds.
@@ -227,8 +228,8 @@ def scan_secrets(docs: DataFrame, clear_rate: float = 0.01) -> DataFrame:
     outside = F.filter(unexplained, lambda t: ~F.exists(
         "base", lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])))
     rows = rows.withColumn("random", tagged(outside, 3))
-    return rows.select(
-        "doc_id", F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
+    return computed_once(
+        rows, F.col("doc_id"), F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
         F.size("hex").cast("long").alias("n_hex"), F.size("random").cast("long").alias("n_random"),
         F.sha2(_written(F.col("base")), 256).alias("base_sha256"),
         F.when(F.size("random") > 0, _written(F.sort_array(F.concat("base", "random")))).otherwise(_written(F.col("base"))).alias("spans"))
