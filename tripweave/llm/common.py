@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripweave.session import fresh_dir
 
@@ -79,6 +80,11 @@ def apart(docs: DataFrame, *extra: Column) -> DataFrame:
     return docs.select(row, F.col("text").cast("string").alias("text"), *extra)
 
 
+def beside_row(rows: DataFrame, ddl: str) -> T.StructType:
+    """A schema of ``row`` as ``rows`` has it and the columns of ``ddl``; ``row`` may hold any names."""
+    return T.StructType([rows.schema["row"], *T.StructType.fromDDL(ddl).fields])
+
+
 def together(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` in their order, from ``row`` and ``text``."""
     return rows.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import apart, text_of, together
+from tripweave.llm.common import apart, beside_row, text_of, together
 
 WINDOW = 10
 #: Bytes of benchmark text whose tables go to the tasks at once; a larger benchmark takes several passes.
@@ -192,8 +192,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     spark = docs.sparkSession
     rows = apart(docs, F.lit(0).cast("long").alias("n_words"), F.expr("CAST(array() AS array<struct<first:int,n:int>>)").alias("spans"),
                  F.expr("CAST(array() AS array<string>)").alias("items"))
-    kind = rows.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, text string, n_words long, spans array<struct<first:int,n:int>>, items array<string>"
+    schema = beside_row(rows, "text string, n_words long, spans array<struct<first:int,n:int>>, items array<string>")
     groups = _passes(benchmark, pass_bytes)
     for group in groups:
         tables = spark.sparkContext.broadcast(group)  # bounded by pass_bytes

@@ -3,8 +3,9 @@
 A page is a stream of tags and texts. Repeated neighbouring blocks of a stream fold into a repeated group. Streams of a host are then
 aligned one after the other with the wrapper found so far: tags without partner become
 optional groups, texts that differ become slots, texts that never differ stay as constants. The
-wrapper says for every slot where in the page it lies and whether it is article text; extraction reads a page along
-the wrapper. A page that the wrapper does not read is judged by the place of its own texts.
+wrapper so tells the slots, which pages fill, from the template's own words; extraction reads a page along
+the wrapper, keeps what fills slots, and of that what its elements place in the article. A page that the wrapper does not
+read is judged by place alone.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from tripweave.llm.common import BROADCAST_ROWS, Scratch, text_of
 
 #: Pages of a host a wrapper is learned from, at most: those with the smallest hash. All pages are read by it.
 SAMPLE = 12
+#: Sampled pages that must differ before an equal text in all of them counts as template.
+DIFFERENT = 4
 #: Longest block that may fold, in tokens.
 LONGEST_BLOCK = 24
 #: Bytes of wrappers that may be broadcast.
@@ -185,8 +188,20 @@ def _optional(nodes: list) -> list:
     return [] if not nodes else nodes if len(nodes) == 1 and nodes[0][0] in "?" else [["?", nodes]]
 
 
+def _grouped(nodes: list, other: list) -> list:
+    """``nodes`` with each block that ``other`` repeats as a group too, though it may stand only once here."""
+    bodies = [list(map(_sign, n[1])) for n in other if n[0] == "+"]
+    signs, out, i = list(map(_sign, nodes)), [], 0
+    while i < len(nodes):
+        size = next((len(body) for body in bodies if signs[i:i + len(body)] == body), 0)
+        out.append(["+", nodes[i:i + size]] if size else nodes[i])
+        i += size or 1
+    return out
+
+
 def aligned(a: list, b: list) -> list:
     """The wrapper that reads what either reads: equal parts once, the rest as optional or repeated groups."""
+    a, b = _grouped(a, b), _grouped(b, a)
     out: list = []
     sign_a, sign_b = [_sign(n) for n in a], [_sign(n) for n in b]
     for what, i, j, k, m in SequenceMatcher(None, sign_a, sign_b, autojunk=False).get_opcodes():
@@ -205,38 +220,32 @@ def aligned(a: list, b: list) -> list:
     return folded(out)
 
 
-def _flat(nodes: list, always: bool = True) -> Iterator[tuple[str, object, bool, list]]:
+def _flat(nodes: list, always: bool = True) -> Iterator[tuple[str, object, bool]]:
     for n in nodes:
         if n[0] in "?+":
             yield from _flat(n[1], False)
         else:
-            yield n[0], n[1], always, n
+            yield n[0], n[1], always
 
 
 def learn_wrapper(pages: list[str]) -> dict:
-    """The wrapper of some pages, and for each of its slots whether it is article text.
+    """The wrapper of some pages, and for each of its texts whether it is part of the template.
 
-    A constant that every page has, while their article texts differ, is part of the template, wherever it lies.
+    That is a constant which every page has, wherever it lies, while the pages differ in other texts.
     """
     streams = [tokens(p) for p in pages]
     wrapper: list = []
     for k, stream in enumerate(streams):
         nodes = folded([list(t) for t in stream])
         wrapper = nodes if not k else aligned(wrapper, nodes)
-    flat = list(_flat(wrapper))
-    texts = [x for x in flat if x[0] == "x"]
-    paths = [p for _, p in places([(kind, value if kind != "x" else "") for kind, value, _, _ in flat])]
-    verdict = article_places(paths)
+    texts = [x for x in _flat(wrapper) if x[0] == "x"]
     different = len({" ".join(v for t, v in s if t == "x") for s in streams})
-    for i, (_, constant, always, _) in enumerate(texts):
-        if constant is not None and always and different >= 4:
-            verdict[i] = False
-    return {"nodes": wrapper, "article": verdict}
+    return {"nodes": wrapper, "template": [c is not None and always and different >= DIFFERENT for _, c, always in texts]}
 
 
-def read_along(wrapper: dict, stream: list[Token]) -> list[str] | None:
-    """The article texts of a page read along its wrapper; None if the wrapper does not read the whole page."""
-    found: list[tuple[int, str]] = []
+def read_along(wrapper: dict, stream: list[Token]) -> list[int] | None:
+    """The texts of a page, as numbers of tokens, that fill slots; None if the wrapper does not read the whole page."""
+    found: list[tuple[int, int]] = []
 
     def size(nodes) -> int:
         return sum(size(n[1]) if n[0] in "?+" else n[0] == "x" for n in nodes)
@@ -245,7 +254,7 @@ def read_along(wrapper: dict, stream: list[Token]) -> list[str] | None:
         for n in nodes:
             if n[0] == "x":
                 if i < len(stream) and stream[i][0] == "x":
-                    found.append((slot, stream[i][1]))
+                    found.append((slot, i))
                     i += 1
                 slot += 1
             elif n[0] in "?+":
@@ -267,16 +276,16 @@ def read_along(wrapper: dict, stream: list[Token]) -> list[str] | None:
 
     if take(wrapper["nodes"], 0, 0) != len(stream):
         return None
-    return [text for slot, text in found if wrapper["article"][slot]]
+    return [i for slot, i in found if not wrapper["template"][slot]]
 
 
 def article_text(page: str, wrapper: dict | None) -> str:
+    """Texts that lie in the article and fill slots of the wrapper. Where it lies is a matter of the page's own elements."""
     stream = tokens(page)
-    texts = read_along(wrapper, stream) if wrapper else None
-    if texts is None:
-        where = list(places(stream))
-        texts = [stream[i][1] for (i, _), good in zip(where, article_places([p for _, p in where])) if good]
-    return "\n".join(texts)
+    where = list(places(stream))
+    good = {i for (i, _), inside in zip(where, article_places([p for _, p in where])) if inside}
+    slots = read_along(wrapper, stream) if wrapper else None
+    return "\n".join(stream[i][1] for i in (slots if slots is not None else sorted(good)) if i in good)
 
 
 # -- on Spark

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import SPACE, Scratch, apart, partitions_for, small_side, text_of
+from tripweave.llm.common import SPACE, Scratch, apart, beside_row, partitions_for, small_side, text_of
 
 LEAST_LENGTH = 40
 LEAST_DOCS = 5
@@ -162,6 +162,5 @@ def drop_repeated_lines(docs: DataFrame, least: int = LEAST_LENGTH, least_docs:
                 [batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())],
                 ["row", "text", "n_lines", "n_dropped"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"row {kind}, text string, n_lines long, n_dropped long")
+    return rows.mapInArrow(cut, beside_row(rows, "text string, n_lines long, n_dropped long"))
 

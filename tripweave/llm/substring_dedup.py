@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import Scratch
+from tripweave.llm.common import Scratch, beside_row
 from tripweave.llm.fm_index import FMIndex
 from tripweave.llm.repeats import HOT, BASE, INVERSE, Kind, Shard, copies, merged, mixed, powers, repeated_spans, stored
 
@@ -105,5 +105,4 @@ def drop_repeated_substrings(docs: DataFrame, window: int = WINDOW, hot: int = H
                 [batch.column("row"), pa.array(kept, pa.string()), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64())],
                 ["row", "text", "n_words", "n_removed"])
 
-    kind_of_row = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"row {kind_of_row}, text string, n_words long, n_removed long")
+    return rows.mapInArrow(cut, beside_row(rows, "text string, n_words long, n_removed long"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import Scratch
+from tripweave.llm.common import Scratch, beside_row
 from tripweave.llm.repeats import HOT, Kind, Shard, copies, merged, repeated_spans, stored
 
 WINDOW, GRAM = 200, 64
@@ -114,5 +114,4 @@ def drop_repeated_bytes(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -
                 [batch.column("row"), pa.array(kept, pa.binary()), *[pa.array(x, pa.int64()) for x in (sizes, gone, runs)]],
                 ["row", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    kind_of_row = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"row {kind_of_row}, kept binary, n_bytes long, n_removed long, n_spans long")
+    return rows.mapInArrow(cut, beside_row(rows, "kept binary, n_bytes long, n_removed long, n_spans long"))
