@@ -355,3 +355,49 @@ def test_topic_health_of_absent_topic(spark):
     offsets = spark.createDataFrame([], "topic string, partition int, begin_offset bigint, end_offset bigint")
     row = monitoring.topic_health(offsets, "t").first()
     assert (row.topic_exists, row.partitions, row.message_count_estimate, row.topic_healthy) == (False, 0, 0, False)
+
+
+@pytest.mark.parametrize("values, want", [
+    ([1.0, 2.0, 5.0, float("inf"), float("inf")], 5.0), ([float("-inf"), 1.0, 2.0], 1.0), ([-1.7e308, 2.0, 1.7e308], 2.0),
+    ([float("-inf"), float("inf"), 3.0, 4.0, 5.0, float("nan"), None], 4.0),
+])
+def test_median_ends_whatever_the_range(spark, values, want):
+    from tripweave.operators.statistics import exact_median
+
+    assert exact_median(spark.createDataFrame([(v,) for v in values], "x double"), "x") == want
+
+
+def test_not_a_number_is_missing(spark, trip_frame):
+    from tripweave.functions.trip import speed_kmh
+    from tripweave.operators.quality import raw_facts
+
+    facts = raw_facts(trip_frame({}, {"pickup_latitude": float("nan")}, {"pickup_latitude": 0.0})).first()
+    assert (facts.geographic_anomalies, facts.nulls_pickup_latitude) == (1, 1)
+    assert spark.range(1).select(speed_kmh(F.lit(float("nan")), F.lit(60)).alias("v")).first().v == 0.0
+
+
+def test_speed_files_give_the_same_rows_for_any_columns(spark, tmp_path):
+    from tripweave.sources import speed_files
+
+    folder = tmp_path / "batch_id=00003"
+    folder.mkdir()
+    (folder / "part-0.json").write_text("\n".join([
+        '{"id":"a","vendor_id":1,"passenger_count":1.0,"trip_duration":100}', '{"id":"b","vendor_id":1,"trip_duration":"long"}',
+        '{"id":"c","passenger_count":1.5,"trip_duration":7}', "not json", "\t", "", '{"id":"d","trip_duration":9}']))
+    base = str(tmp_path)
+    rows = speed_files.read_batches(spark, base)
+    assert sorted((r.id, r.passenger_count, r.batch_id) for r in rows.collect()) == [("a", 1, 3), ("d", None, 3)]
+    assert {rows.select(c).count() for c in rows.columns} == {2} and rows.count() == 2
+    assert speed_files.read_rejects(spark, base).count() == 3
+    assert speed_files.inventory(spark, base).first().records == 5
+
+
+def test_the_live_view_opens_one_batch(spark, tmp_path):
+    from tripweave.sources import speed_files
+    from tripweave.streaming import speed_layer
+
+    for i in range(4):
+        speed_files.write_batch(spark.createDataFrame([(f"t{i}",)], "id string"), str(tmp_path), i)
+    speed_layer.register_live_views(spark, str(tmp_path), 2)
+    view = spark.table(speed_layer.TRIPS_VIEW)
+    assert [r.id for r in view.collect()] == ["t2"] and all("batch_id=00002" in f for f in view.inputFiles())

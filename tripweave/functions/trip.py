@@ -26,7 +26,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 
 def speed_kmh(distance: Column, seconds: Column) -> Column:
     """Mean speed; 0 where it is undefined."""
-    moving = (seconds != 0) & distance.isNotNull()
+    moving = (seconds != 0) & distance.isNotNull() & ~F.isnan(distance)
     return F.when(moving, distance / (seconds / F.lit(3600.0))).otherwise(F.lit(0.0))
 
 

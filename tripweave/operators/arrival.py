@@ -29,11 +29,11 @@ def running_error(scored: DataFrame, order: list[str]) -> DataFrame:
 def offsets_within(rows: DataFrame, partition: str, order: list[str]) -> DataFrame:
     """Number the rows of each topic partition from 0, however large one of them is.
 
-    One row per topic partition is broadcast; a topic has at most a few thousand.
+    The join has one row per topic partition; whether it is broadcast is left to its size.
     """
     placed = with_positions(rows, [partition, *order], "_at")
     first = placed.groupBy(partition).agg(F.min("_at").alias("_first"))
     return (
-        placed.join(F.broadcast(first), partition)
+        placed.join(first, partition)
         .withColumn("offset", F.col("_at") - F.col("_first")).drop("_at", "_first")
     )

@@ -12,6 +12,7 @@ from tripweave import settings as S
 from tripweave.functions.rows import side_by_side
 from tripweave.functions.trip import computed_once, seconds_between
 from tripweave.operators.filters import written_since
+from tripweave.sources.json_rows import not_blank
 
 REQUIRED_FIELDS = ["vendor_id", "passenger_count", "trip_duration"]
 
@@ -118,7 +119,7 @@ def quality_sample(rows: DataFrame, file: str, id_column: str = "id", files: int
 def _checked(lines: DataFrame, text: str) -> DataFrame:
     """Non-blank lines as (fields, errors); both are null for a line that does not parse."""
     fields = F.from_json(F.col(text), "map<string,string>")
-    parsed = computed_once(lines.filter(F.trim(text) != ""), fields.alias("m"))
+    parsed = computed_once(lines.filter(not_blank(F.col(text))), fields.alias("m"))
 
     def number(name: str) -> Column:
         return F.try_element_at("m", F.lit(name)).try_cast("double")

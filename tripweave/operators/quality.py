@@ -16,13 +16,21 @@ from tripweave.operators.statistics import frequencies, frequency_median
 from tripweave.schemas import REQUIRED_COLUMNS
 
 
+COORDINATES = ("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
+
+
 def _holds(condition: Column) -> Column:
     """Count of rows where the condition is true; null counts as false."""
     return F.count(F.when(condition, 1))
 
 
+def known(column: str) -> Column:
+    """The column, its coordinates with NaN as null: a coordinate that is not a number is missing, not out of bounds."""
+    return F.nanvl(column, F.lit(None).cast("double")) if column in COORDINATES else F.col(column)
+
+
 def geo_anomaly() -> Column:
-    lat, lon = F.col("pickup_latitude"), F.col("pickup_longitude")
+    lat, lon = known("pickup_latitude"), known("pickup_longitude")
     return (lat < S.LAT_MIN) | (lat > S.LAT_MAX) | (lon < S.LON_MIN) | (lon > S.LON_MAX)
 
 
@@ -42,7 +50,7 @@ def raw_facts(trips: DataFrame) -> DataFrame:
     either = reduce(lambda a, b: a | b, [F.coalesce(m, F.lit(False)) for m in masks])
     return trips.agg(
         F.count(F.lit(1)).alias("row_count"),
-        *[_holds(F.col(c).isNull()).alias(f"nulls_{c}") for c in REQUIRED_COLUMNS],
+        *[_holds(known(c).isNull()).alias(f"nulls_{c}") for c in REQUIRED_COLUMNS],
         _holds(masks[0]).alias("geographic_anomalies"),
         _holds(masks[1]).alias("duration_anomalies"),
         _holds(masks[2]).alias("passenger_anomalies"),

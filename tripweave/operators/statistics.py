@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,7 +90,12 @@ def _value_at(values: DataFrame, rank: int, lo: float, hi: float) -> float:
     below = 0
     while lo < hi:
         width = (hi - lo) / _SLICES
-        slot = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(_SLICES - 1)) if width > 0 else F.when(x > lo, 1).otherwise(0)
+        if math.isinf(lo) or math.isinf(hi):
+            slot = F.when(x == float("-inf"), 0).when(x == float("inf"), 2).otherwise(1)
+        elif math.isinf(width):  # the range is too wide for a double; halve it
+            slot = F.when(x > lo / 2 + hi / 2, 1).otherwise(0)
+        else:
+            slot = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(_SLICES - 1)) if width > 0 else F.when(x > lo, 1).otherwise(0)
         slices = (
             values.filter(x.between(lo, hi))
             .groupBy(slot.alias("slot"))
@@ -103,6 +110,8 @@ def _value_at(values: DataFrame, rank: int, lo: float, hi: float) -> float:
             .first()
         )
         below += found.upto - found.c
+        if (found.lo, found.hi) == (lo, hi):
+            raise ArithmeticError(f"no narrower range than {lo} to {hi}")
         lo, hi = found.lo, found.hi
     return lo
 

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tripweave import settings as S
-from tripweave.functions.trip import computed_once
 from tripweave.schemas import MESSAGE_SCHEMA, conform
+from tripweave.sources.json_rows import is_record, parsed_lines, typed
 
-_CORRUPT = "_corrupt_record"
 
 
 # -- transport -------------------------------------------------------------------------------
@@ -93,23 +91,11 @@ def replay_limit(trips: DataFrame, order: list[str], n: int = S.PUBLISH_LIMIT) -
 
 # -- decode ----------------------------------------------------------------------------------
 
-def _parsed(messages: DataFrame) -> DataFrame:
-    """(value, data) of the non-blank values, each parsed once."""
-    text = F.col("value").cast("string")
-    schema = StructType(list(MESSAGE_SCHEMA.fields)).add(_CORRUPT, "string")
-    data = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return computed_once(messages.filter(F.trim(text) != ""), text.alias("value"), data.alias("data"))
-
-
-def _is_record():
-    return F.col("data").isNotNull() & F.col(f"data.{_CORRUPT}").isNull()
-
-
 def decode(messages: DataFrame) -> DataFrame:
     """Typed columns of the values that parse; blank values are skipped."""
-    return _parsed(messages).filter(_is_record()).select(*[F.col(f"data.{f.name}") for f in MESSAGE_SCHEMA.fields])
+    return parsed_lines(messages, F.col("value").cast("string"), MESSAGE_SCHEMA).filter(is_record(MESSAGE_SCHEMA)).select(*typed(MESSAGE_SCHEMA))
 
 
 def rejected(messages: DataFrame) -> DataFrame:
     """The non-blank values that do not parse, for quarantine."""
-    return _parsed(messages).filter(~_is_record()).select("value")
+    return parsed_lines(messages, F.col("value").cast("string"), MESSAGE_SCHEMA).filter(~is_record(MESSAGE_SCHEMA)).select("value")

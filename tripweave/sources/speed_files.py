@@ -11,11 +11,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripweave import settings as S
 from tripweave.schemas import SPEED_SCHEMA
+from tripweave.sources.json_rows import is_record, not_blank, parsed_lines, typed
 
 _BATCH_IN_PATH = r"batch_id=(\d+)"
+_ROW = StructType([f for f in SPEED_SCHEMA.fields if f.name != "batch_id"])
 
 
 def batch_folder(base: str, batch_id: int) -> str:
@@ -36,16 +39,25 @@ def write_batches(rows: DataFrame, base: str) -> str:
     return base
 
 
-def read_batches(spark: SparkSession, base: str) -> DataFrame:
-    """All rows with ``batch_id`` taken from the folder.
+def _lines(spark: SparkSession, base: str, batch_id: int | None, ignore_missing: bool) -> DataFrame:
+    folders = f"{base}/batch_id=*" if batch_id is None else batch_folder(base, batch_id)
+    lines = spark.read.options(basePath=base, ignoreMissingFiles=ignore_missing).text(folders)
+    return parsed_lines(lines, F.col("value"), _ROW, F.col("batch_id").cast("int").alias("batch_id"))
 
-    Unreadable lines are dropped, and files that retention removes meanwhile are passed over.
+
+def read_batches(spark: SparkSession, base: str, batch_id: int | None = None, ignore_missing: bool = False) -> DataFrame:
+    """All rows, or those of one batch, with ``batch_id`` taken from the folder.
+
+    A line is a row if every field of it has its type, whichever columns a query asks for; ``read_rejects`` has the others.
+    ``ignore_missing`` passes over files that retention removes between listing and reading; without it that is an error.
     """
-    return (
-        spark.read.schema(SPEED_SCHEMA)
-        .options(basePath=base, mode="DROPMALFORMED", ignoreMissingFiles=True)
-        .json(f"{base}/batch_id=*")
-    )
+    rows = _lines(spark, base, batch_id, ignore_missing).filter(is_record(_ROW))
+    return rows.select(*typed(_ROW), "batch_id").select(*SPEED_SCHEMA.fieldNames())
+
+
+def read_rejects(spark: SparkSession, base: str, batch_id: int | None = None) -> DataFrame:
+    """(batch_id, value) of the lines that are not blank and no rows."""
+    return _lines(spark, base, batch_id, False).filter(~is_record(_ROW)).select("batch_id", "value")
 
 
 def files(spark: SparkSession, base: str) -> DataFrame:
@@ -91,6 +103,6 @@ def inventory(spark: SparkSession, base: str) -> DataFrame:
             meta["file_modification_time"].alias("modified"),
         )
     )
-    return lines.filter(F.trim("value") != "").groupBy("name").agg(
+    return lines.filter(not_blank(F.col("value"))).groupBy("name").agg(
         F.count(F.lit(1)).alias("records"), F.max("modified").alias("modified")
     )

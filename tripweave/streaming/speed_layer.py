@@ -42,7 +42,7 @@ def hourly_view(trips: DataFrame) -> DataFrame:
 
 def register_live_views(spark: SparkSession, base: str, batch_id: int) -> None:
     """Point the live views at one batch, replacing the batch before. They read its stored rows."""
-    rows = speed_files.read_batches(spark, base).filter(F.col("batch_id") == batch_id)
+    rows = speed_files.read_batches(spark, base, batch_id)
     rows.createOrReplaceTempView(TRIPS_VIEW)
     hourly_view(rows).createOrReplaceTempView(HOURLY_VIEW)
 
