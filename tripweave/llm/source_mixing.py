@@ -158,7 +158,8 @@ def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
     """
     placed, goals, chosen = mix(docs, seed)
     uses = chosen.groupBy("code", "block").agg(F.count("*").alias("uses"))
-    taken = pieces(placed, goals).join(uses, ["code", "block"]).groupBy("code", "group", "nth").agg(
+    # Slots unfold from a table of one row per source, so their estimated size is far too small to plan a broadcast by.
+    taken = pieces(placed, goals).join(uses.hint("merge"), ["code", "block"]).groupBy("code", "group", "nth").agg(
         F.sum(F.col("n") * F.col("uses")).alias("taken"))
     return placed.join(taken, ["code", "group", "nth"], "left").join(
         small_side(goals.select("code", "source_size", "target"), goals.count()), "code").select(
