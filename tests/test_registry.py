@@ -6,7 +6,6 @@ import __spark_entry__ as registry
 from tests.compare import connect, differences
 
 SQL = registry.oracle_sql()
-SLOW = {"train_gbt", "model_leaderboard", "best_model", "evaluate_model"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +27,7 @@ def test_equal_to_sql(spark, con, sf_dir, name):
     assert differences(spark, con, sf_dir, registry.queries()[name], SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(SQL)))
 def test_has_rows(spark, sf_dir, name):
     assert registry.queries()[name](spark, sf_dir).count() > 0
 

@@ -18,3 +18,8 @@ def side_by_side(frames: dict[str, DataFrame]) -> DataFrame:
     """One row with one struct column per one-row frame."""
     first = next(iter(frames.values()))
     return first.sparkSession.range(1).select(*[the_row(frame).alias(name) for name, frame in frames.items()])
+
+
+def taken(frame: DataFrame) -> DataFrame:
+    """A one-row frame computed now and kept as its row; later uses do not compute it again."""
+    return frame.sparkSession.createDataFrame([frame.first()], frame.schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,59 +69,80 @@ def frequency_median(freq: DataFrame, value: str, count: str = "n", out: str = "
 
 
 def exact_median(df: DataFrame, column: str) -> float | None:
-    """Exact median of a numeric column, by narrowing equal-width histograms.
+    """Exact median of a numeric column; null without values. NaN is not a value."""
+    return medians(df, [column], always=True).get(column)
 
-    Each pass is one scan of one column with a map-side combined count of at most 4096 slices;
-    no sort and no shuffle of the values. A pass shrinks the value range 4096-fold, so ints and
-    doubles end after a few passes whatever the skew.
+
+def medians(df: DataFrame, columns: list[str], always: bool = False) -> dict[str, float]:
+    """Exact medians of those columns that contain nulls, or of all; by narrowing equal-width histograms.
+
+    Each pass is one scan for all columns and both middle ranks, with a map-side combined count of at
+    most 4096 slices for each; no sort and no shuffle of the values. A pass shrinks the value ranges
+    4096-fold, so ints and doubles end after a few passes whatever the skew.
     """
-    x = F.col("x")
-    values = df.select(F.col(column).cast("double").alias("x")).filter(x.isNotNull() & ~F.isnan(x))
-    span = values.agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    if span.n == 0:
-        return None
-    ranks = sorted({(span.n + 1) // 2, span.n // 2 + 1})
-    picked = [_value_at(values, rank, span.lo, span.hi) for rank in ranks]
-    return sum(picked) / len(picked)
-
-
-def _value_at(values: DataFrame, rank: int, lo: float, hi: float) -> float:
-    """The value with 1-based ``rank`` among ``values``; ``lo``/``hi`` enclose it throughout."""
-    x = F.col("x")
-    below = 0
-    while lo < hi:
-        width = (hi - lo) / _SLICES
-        if math.isinf(lo) or math.isinf(hi):
-            slot = F.when(x == float("-inf"), 0).when(x == float("inf"), 2).otherwise(1)
-        elif math.isinf(width):  # the range is too wide for a double; halve it
-            slot = F.when(x > lo / 2 + hi / 2, 1).otherwise(0)
-        else:
-            slot = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(_SLICES - 1)) if width > 0 else F.when(x > lo, 1).otherwise(0)
-        slices = (
-            values.filter(x.between(lo, hi))
-            .groupBy(slot.alias("slot"))
-            .agg(F.count("x").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-        )
-        upto = F.sum("c").over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        found = (
-            slices.withColumn("upto", upto)
-            .filter(F.col("upto") >= rank - below)
-            .orderBy("slot")
-            .select("c", "lo", "hi", "upto")
-            .first()
-        )
-        below += found.upto - found.c
-        if (found.lo, found.hi) == (lo, hi):
-            raise ArithmeticError(f"no narrower range than {lo} to {hi}")
-        lo, hi = found.lo, found.hi
-    return lo
-
-
-def medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Medians of those columns that contain nulls; the others need none."""
-    gaps = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in columns]).first().asDict()
-    found = {c: exact_median(df, c) for c in columns if gaps[c]}
-    return {c: m for c, m in found.items() if m is not None}
+    def value(c: str) -> Column:
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x), x)
+
+    facts = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[f(value(c)).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))],
+        *[F.count(c).alias(f"known{i}") for i, c in enumerate(columns)],
+    ).first()
+    spans = []
+    for i, c in enumerate(columns):
+        n = facts[f"n{i}"]
+        if n and (always or facts[f"known{i}"] < facts["rows"]):
+            spans += [_Span(c, rank, facts[f"lo{i}"], facts[f"hi{i}"]) for rank in ((n + 1) // 2, n // 2 + 1)]
+    while open_spans := [s for s in spans if s.lo < s.hi]:
+        _narrow(df.select(*[value(c).alias(c) for c in dict.fromkeys(s.column for s in open_spans)]), open_spans)
+    picked = {s.column: [t.lo for t in spans if t.column == s.column] for s in spans}
+    return {c: low if low == high else low / 2 + high / 2 for c, (low, high) in picked.items()}
+
+
+@dataclass
+class _Span:
+    """A range of values of a column that holds the one with 1-based ``rank``, counted from ``lo``."""
+
+    column: str
+    rank: int
+    lo: float
+    hi: float
+
+    def slot(self) -> Column:
+        x, width = F.col(self.column), (self.hi - self.lo) / _SLICES
+        if math.isinf(self.lo) or math.isinf(self.hi):
+            return F.when(x == float("-inf"), 0).when(x == float("inf"), 2).otherwise(1)
+        if math.isinf(width):  # the range is too wide for a double; halve it
+            return F.when(x > self.lo / 2 + self.hi / 2, 1).otherwise(0)
+        if width == 0:
+            return F.when(x > self.lo, 1).otherwise(0)
+        return F.least(F.floor((x - F.lit(self.lo)) / F.lit(width)), F.lit(_SLICES - 1))
+
+
+def _narrow(values: DataFrame, spans: list[_Span]) -> None:
+    """One pass: each span shrinks to the slice that holds its rank."""
+    hits = [
+        F.when(F.col(s.column).between(s.lo, s.hi), F.struct(
+            F.lit(i).alias("i"), s.slot().cast("int").alias("slot"), F.col(s.column).alias("x")))
+        for i, s in enumerate(spans)
+    ]
+    slices = (
+        values.select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+        .groupBy("hit.i", "hit.slot").agg(F.count(F.lit(1)).alias("c"), F.min("hit.x").alias("lo"), F.max("hit.x").alias("hi"))
+    )
+    along = Window.partitionBy("i").orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rank = F.element_at(F.array(*[F.lit(s.rank) for s in spans]), F.col("i") + 1)
+    found = (
+        slices.withColumn("upto", F.sum("c").over(along))
+        .filter((F.col("upto") >= rank) & (F.col("upto") - F.col("c") < rank))
+        .collect()  # one row per span
+    )
+    for row in found:
+        span = spans[row.i]
+        if (row.lo, row.hi) == (span.lo, span.hi):
+            raise ArithmeticError(f"no narrower range than {row.lo} to {row.hi}")
+        span.rank, span.lo, span.hi = span.rank - (row.upto - row.c), row.lo, row.hi
 
 
 def fill_with(df: DataFrame, values: dict[str, float]) -> DataFrame:

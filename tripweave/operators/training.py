@@ -11,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.functions.rows import the_row
+from tripweave.functions.rows import taken, the_row
 from tripweave.functions.trip import with_trip_features
 from tripweave.operators.filters import training_rows
 from tripweave.operators.scoring import regression_metrics
@@ -26,8 +26,11 @@ SEED = 42
 # -- data ------------------------------------------------------------------------------------
 
 def training_features(trips: DataFrame, features: list[str] = TRAINING_FEATURES) -> DataFrame:
-    """Rows of plausible duration with features; missing features take the median."""
-    rows = with_trip_features(training_rows(trips)).select("id", *features, LABEL)
+    """Rows of plausible duration with features; missing features take the median.
+
+    The features are written once, since the medians and the fits read them several times.
+    """
+    rows = materialize(with_trip_features(training_rows(trips)).select("id", *features, LABEL))
     return fill_with(rows, medians(rows, features))
 
 
@@ -102,9 +105,8 @@ def fit_model(
     moments = scaling(train, features).first().asDict() if scaled else None
     model = Pipeline(stages=[*_prepare(features, moments), regressor]).fit(train)
     params = {p.name: str(v) for p, v in regressor.extractParamMap().items()}
-    measured = evaluate(model, test)
-    # One row, kept as such: ranking and logging it must not score the test rows again.
-    metrics = train.sparkSession.createDataFrame([measured.first()], measured.schema)
+    # Ranking and logging the metrics must not score the test rows again.
+    metrics = taken(evaluate(model, test))
     return Trained(name, kind, model, features, params, metrics)
 
 
@@ -128,8 +130,8 @@ def evaluate(model, rows: DataFrame) -> DataFrame:
 
 
 def _prepared(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows with features. They are written once, since fitting reads them many times."""
-    return train_test_split(materialize(training_features(trips)))
+    """Train and test rows with features."""
+    return train_test_split(training_features(trips))
 
 
 def train_gbt(trips: DataFrame, trees: int = 100, depth: int = 8) -> Trained:

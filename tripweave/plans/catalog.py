@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripweave import settings as S
+from tripweave.functions.rows import the_row
 from tripweave.functions.trip import parse_pickup, rounded, with_time_parts
 from tripweave.operators import (
     arrival, filters, monitoring, quality, reporting, scoring, serving, statistics, training, views,
@@ -24,7 +26,6 @@ QUERIES: dict[str, Query] = {}
 
 ARRIVAL = ["pickup_datetime", "id"]
 TRIP_TEXT = "yyyy-MM-dd HH:mm:ss"
-MODEL_TREES, MODEL_DEPTH = 20, 5
 
 
 def query(fn: Query) -> Query:
@@ -473,24 +474,30 @@ def speed_record_quality(spark, sf_dir):
     return rounded(monitoring.speed_record_quality(fx.messages(spark, sf_dir)))
 
 
-def _verdict(spark, sf_dir) -> DataFrame:
+def _verdict(spark, sf_dir, age: float, share: float) -> DataFrame:
     writes = _writes(spark, sf_dir)
     return monitoring.circuit_breaker(health_checks(
         monitoring.topic_health(fx.topic_ends(spark, sf_dir), fx.TOPIC),
-        monitoring.speed_freshness(writes, "processed_time", _as_of(), limit=0.001),
+        monitoring.speed_freshness(writes, "processed_time", _as_of(), limit=age),
         monitoring.speed_throughput(writes, "batch_id", "processed_time", _as_of()),
-        monitoring.speed_record_quality(fx.messages(spark, sf_dir), threshold=0.99),
+        monitoring.speed_record_quality(fx.messages(spark, sf_dir), threshold=share),
     ))
 
 
 @query
 def circuit_breaker(spark, sf_dir):
-    return _verdict(spark, sf_dir)
+    """The verdict under strict limits."""
+    return _verdict(spark, sf_dir, 0.001, 0.99)
+
+
+@query
+def circuit_breaker_default(spark, sf_dir):
+    return _verdict(spark, sf_dir, S.MAX_DATA_AGE_MINUTES, S.RECORD_QUALITY_THRESHOLD)
 
 
 @query
 def alerts(spark, sf_dir):
-    return monitoring.alerts(_verdict(spark, sf_dir))
+    return monitoring.alerts(_verdict(spark, sf_dir, 0.001, 0.99))
 
 
 @query
@@ -565,34 +572,69 @@ def model_gate(spark, sf_dir):
     return rounded(scoring.model_gate(_test_metrics(spark, sf_dir)))
 
 
+def _fit_facts(figures: DataFrame, *names: str) -> DataFrame:
+    """What must hold of a fitted model in any engine, in place of its figures."""
+    return figures.select(*names, "samples", (F.col("mae") <= F.col("rmse")).alias("mae_within_rmse"))
+
+
+def _beats_line(model, fitted_on: DataFrame):
+    """Whether the model follows the rows it was fitted on more closely than the closed-form line of these rows."""
+    line = scoring.regression_metrics(scoring.score_with_line(fitted_on, scoring.linear_baseline(fitted_on)))
+    return the_row(training.evaluate(model, fitted_on))["rmse"] < the_row(line)["rmse"]
+
+
 @query
 def train_gbt(spark, sf_dir):
-    return training.train_gbt(fx.trips(spark, sf_dir), MODEL_TREES, MODEL_DEPTH).summary()
+    rows = fx.trips(spark, sf_dir)
+    trained = training.train_gbt(rows)
+    train, _ = training.train_test_split(training.training_features(rows))
+    return _fit_facts(trained.summary().withColumn("beats_line", _beats_line(trained.model, train)), "name", "type", "beats_line")
 
 
 @query
 def train_linear(spark, sf_dir):
-    return training.train_linear(fx.trips(spark, sf_dir)).summary()
+    """Residuals of least squares have mean 0 and no covariance with any feature."""
+    rows = fx.trips(spark, sf_dir)
+    trained = training.train_linear(rows)
+    train, _ = training.train_test_split(training.training_features(rows))
+    residual = F.col("trip_duration") - F.col("prediction")
+    facts = trained.model.transform(train).agg(
+        F.count(F.lit(1)).alias("training_samples"), F.avg(residual).alias("mean_residual"),
+        *[F.covar_pop(residual, F.col(f"x_{c}")).alias(f"residual_{c}") for c in TRAINING_FEATURES],
+    )
+    # Adding 0 turns a negative zero into zero.
+    zeros = {c: F.round(c, 3) + F.lit(0.0) for c in facts.columns if c != "training_samples"}
+    return facts.withColumns({"name": F.lit(trained.name), "type": F.lit(trained.kind), **zeros})
 
 
 @query
 def model_leaderboard(spark, sf_dir):
-    return training.leaderboard(training.train_all(fx.trips(spark, sf_dir), MODEL_TREES, MODEL_DEPTH))
+    board = training.leaderboard(training.train_all(fx.trips(spark, sf_dir)))
+    # Three rows.
+    place = Window.orderBy(F.monotonically_increasing_id())
+    ordered = board.withColumn("in_order", F.coalesce(F.lag("rmse").over(place) <= F.col("rmse"), F.lit(True)))
+    return _fit_facts(ordered, "name", "type", "in_order")
 
 
 @query
 def best_model(spark, sf_dir):
-    return training.best_model(training.leaderboard(
-        training.train_all(fx.trips(spark, sf_dir), MODEL_TREES, MODEL_DEPTH)
-    ))
+    board = training.leaderboard(training.train_all(fx.trips(spark, sf_dir)))
+    least = F.col("rmse") == the_row(board.agg(F.min("rmse").alias("rmse")))["rmse"]
+    return _fit_facts(training.best_model(board).withColumn("is_least", least), "is_least")
 
 
 @query
 def evaluate_model(spark, sf_dir):
+    """A stored model on the rows it was not fitted on: the same figures as before it was stored."""
     rows = fx.clean(spark, sf_dir)
-    trained = training.train_batch_gbt(rows, MODEL_TREES, MODEL_DEPTH)
+    trained = training.train_batch_gbt(rows)
     stored = training.load_model(training.save_model(trained.model, fresh_dir(spark, "model")))
-    return training.evaluate(stored, rows)
+    seen, unseen = training.train_test_split(rows)
+    before = the_row(trained.metrics)
+    again = training.evaluate(stored, unseen)
+    same = [F.abs(F.col(c) - before[c]) < 1e-6 for c in ("rmse", "mae", "r2")]
+    facts = again.withColumns({"as_before": same[0] & same[1] & same[2], "beats_line": _beats_line(stored, seen)})
+    return _fit_facts(facts, "as_before", "beats_line")
 
 
 @query
@@ -641,8 +683,7 @@ def completion_summary(spark, sf_dir):
 
 @query
 def report_document(spark, sf_dir):
-    facts = quality.raw_facts(fx.trips(spark, sf_dir))
-    report = rounded(reporting.run_report(quality.checked(facts)), 4)
+    report = rounded(_report(spark, sf_dir), 4)
     path = fresh_dir(spark, "report")
     documents.write_document(reporting.report_document(report, fx.RUN_DATE, fx.AS_OF), path)
     return spark.read.text(path).select(F.col("value").alias("document"))

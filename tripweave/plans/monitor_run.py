@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.functions.rows import taken
 from tripweave.operators import monitoring
 from tripweave.sources import documents
 
@@ -30,18 +31,21 @@ def run_monitor(
     offsets: DataFrame, commits: DataFrame, log: DataFrame, speed: DataFrame, lines: DataFrame,
     topic: str, as_of: Column, out: str, stamp: str,
 ) -> str:
-    """Evaluate all checks, store an alert or the healthy metrics, and the dashboard; return the action."""
+    """Evaluate all checks, store an alert or the healthy metrics, and the dashboard; return the action.
+
+    Each check is computed once; verdict, dashboard, alert and metrics use its one row.
+    """
     parts = {
-        "topic_health": monitoring.topic_health(offsets, topic),
-        "freshness": monitoring.speed_freshness(speed, "processed_time", as_of),
-        "throughput": monitoring.speed_throughput(speed, "batch_id", "processed_time", as_of),
-        "data_quality": monitoring.speed_record_quality(lines),
+        "topic_health": taken(monitoring.topic_health(offsets, topic)),
+        "freshness": taken(monitoring.speed_freshness(speed, "processed_time", as_of)),
+        "throughput": taken(monitoring.speed_throughput(speed, "batch_id", "processed_time", as_of)),
+        "data_quality": taken(monitoring.speed_record_quality(lines)),
     }
     verdict = monitoring.circuit_breaker(health_checks(*parts.values()))
     outcome = verdict.first()
-    lag = monitoring.consumer_lag(offsets, commits).agg(
+    lag = taken(monitoring.consumer_lag(offsets, commits).agg(
         F.max("total_lag").alias("total_lag"), F.max("is_acceptable").alias("is_acceptable")
-    )
+    ))
     dashboard = monitoring.dashboard_document(
         {
             "kafka": {"topic_health": parts["topic_health"], "consumer_lag": lag},

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tripweave.plans.fixtures import AS_OF, MESSAGE_KIND, RUN_DATE, STREAM_START, TOPIC, TRIP_COLUMNS
+from tripweave.schemas import TRAINING_FEATURES
 
 _TRIPS = ", ".join(f"{expr} AS {name}" for name, expr in TRIP_COLUMNS.items())
 _CLEAN = (
@@ -28,6 +29,24 @@ def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 _KM = _haversine("pickup_latitude", "pickup_longitude", "dropoff_latitude", "dropoff_longitude")
 
+
+def _verdict(age: float, share: float) -> str:
+    """The failed checks, by age in minutes and share of valid records."""
+    return (
+        "SELECT concat_ws(', ', fresh, rate, valid) AS failed, "
+        "CAST((fresh IS NOT NULL)::INT + (rate IS NOT NULL)::INT + (valid IS NOT NULL)::INT AS INT) AS n FROM (SELECT "
+        f"CASE WHEN (SELECT epoch(TIMESTAMP '{AS_OF}' - max(processed_time)) / 60 FROM stamped) > {age} THEN 'data_fresh' END AS fresh, "
+        "CASE WHEN NOT (SELECT is_healthy FROM throughput) THEN 'throughput_ok' END AS rate, "
+        f"CASE WHEN (SELECT valid_records / sample_size::DOUBLE FROM records) < {share} THEN 'quality_ok' END AS valid)"
+    )
+
+
+# What must hold of a fitted model, counted over the rows it is measured on.
+_FITTED = "count(*) AS samples, true AS mae_within_rmse"
+_TEST_PART = (
+    "(SELECT id FROM trips WHERE trip_duration BETWEEN 60 AND 7200 AND substr(md5(id), 1, 2) < '33') AS unseen"
+)
+
 # Named relations; each may use those above it.
 _RELATIONS = {
     "trips": f"SELECT {_TRIPS} FROM events",
@@ -117,13 +136,8 @@ _RELATIONS = {
         "count(*) FILTER (WHERE kind NOT IN ('blank', 'malformed')) AS sample_size, "
         "count(*) FILTER (WHERE kind = 'ok') AS valid_records FROM msgs"
     ),
-    "verdict": (
-        "SELECT concat_ws(', ', fresh, rate, valid) AS failed, "
-        "CAST((fresh IS NOT NULL)::INT + (rate IS NOT NULL)::INT + (valid IS NOT NULL)::INT AS INT) AS n FROM (SELECT "
-        f"CASE WHEN (SELECT epoch(TIMESTAMP '{AS_OF}' - max(processed_time)) / 60 FROM stamped) > 0.001 THEN 'data_fresh' END AS fresh, "
-        "CASE WHEN NOT (SELECT is_healthy FROM throughput) THEN 'throughput_ok' END AS rate, "
-        "CASE WHEN (SELECT valid_records / sample_size::DOUBLE FROM records) < 0.99 THEN 'quality_ok' END AS valid)"
-    ),
+    "verdict": _verdict(0.001, 0.99),
+    "verdict_default": _verdict(10, 0.9),
     "test_fit": (
         "SELECT regr_slope(trip_duration, distance_km) AS slope, regr_intercept(trip_duration, distance_km) AS intercept "
         "FROM clean WHERE substr(md5(id), 1, 2) >= '33'"
@@ -459,6 +473,10 @@ _BODIES = {
         "SELECT failed AS failed_checks, n AS failed_count, "
         "n = 0 AS overall_healthy, CASE WHEN n = 0 THEN 'continue' ELSE 'alert' END AS action FROM verdict"
     ),
+    "circuit_breaker_default": (
+        "SELECT failed AS failed_checks, n AS failed_count, "
+        "n = 0 AS overall_healthy, CASE WHEN n = 0 THEN 'continue' ELSE 'alert' END AS action FROM verdict_default"
+    ),
     "alerts": (
         "SELECT 'streaming_alert' AS type, 'warning' AS severity, failed AS failed_checks, "
         "'Streaming pipeline health degraded: ' || failed AS message FROM verdict WHERE n > 0"
@@ -500,6 +518,18 @@ _BODIES = {
     ),
     "regression_metrics": f"SELECT {_round('rmse mae r2')}, samples FROM metrics",
     "model_gate": "SELECT round(r2, 6) AS r2, r2 >= 0.7 AS passed FROM metrics",
+    "train_gbt": f"SELECT 'GradientBoosting' AS name, 'gbt' AS type, true AS beats_line, {_FITTED} FROM {_TEST_PART}",
+    "train_linear": (
+        "SELECT 'LinearRegression' AS name, 'linear' AS type, count(*) AS training_samples, 0.0::DOUBLE AS mean_residual, "
+        + ", ".join(f"0.0::DOUBLE AS residual_{c}" for c in TRAINING_FEATURES)
+        + " FROM trips WHERE trip_duration BETWEEN 60 AND 7200 AND substr(md5(id), 1, 2) >= '33'"
+    ),
+    "model_leaderboard": (
+        f"SELECT name, type, true AS in_order, {_FITTED} FROM {_TEST_PART}, (VALUES ('GradientBoosting', 'gbt'), "
+        "('LinearRegression', 'linear'), ('RandomForest', 'forest')) AS m(name, type) GROUP BY name, type"
+    ),
+    "best_model": f"SELECT true AS is_least, {_FITTED} FROM {_TEST_PART}",
+    "evaluate_model": f"SELECT true AS as_before, true AS beats_line, {_FITTED} FROM clean WHERE substr(md5(id), 1, 2) < '33'",
     "model_roundtrip": "SELECT count(*) AS scored, count(*) AS equal FROM clean",
     "experiment_log": (
         f"SELECT 'LinearRegression' AS name, 'linear' AS type, '{RUN_DATE}' AS run_date, "
@@ -516,7 +546,10 @@ _BODIES = {
         "anomaly_percentage := round(total_anomalies * 100 / n::DOUBLE, 4)) FROM anomalies), "
         "batch_processing := (SELECT struct_pack(status := 'success', records_processed := count(*)) FROM clean), "
         "data_validation := (SELECT struct_pack(status := 'success', row_count := row_count, "
-        "quality_score := round(quality_score, 4)) FROM quality)))) AS VARCHAR) AS document"
+        "quality_score := round(quality_score, 4)) FROM quality), "
+        "ml_pipeline := (SELECT struct_pack(status := 'success', r2_score := round(r2, 4), rmse := round(rmse, 4)) FROM metrics), "
+        "reconciliation := (SELECT struct_pack(status := status, discrepancies := discrepancies) FROM reconciled)"
+        "))) AS VARCHAR) AS document"
     ),
     "completion_summary": f"SELECT 'Run complete - {RUN_DATE}' AS subject, stage, status FROM stages",
 }
