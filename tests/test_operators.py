@@ -249,7 +249,7 @@ def test_reconcile_verdicts(spark):
     daily = spark.createDataFrame([(10, 100.0)], "total_trips bigint, avg_duration double")
     speed = spark.createDataFrame([(100,), (None,)], "trip_duration int")
     row = serving.reconcile_layers(daily, speed, "d").first()
-    assert (row.status, row.discrepancies, row.diff_pct) == ("discrepancy_detected", "Average duration differs by 50.00%", 50.0)
+    assert (row.status, row.discrepancies, row.diff_pct) == ("discrepancy_detected", "Mean durations are apart by 50.00%", 50.0)
     assert serving.reconcile_layers(daily, speed.filter("trip_duration = 100"), "d").first().status == "consistent"
     assert serving.reconcile_layers(daily, speed.filter("false"), "d").first().status == "incomplete_data"
     assert serving.reconcile_layers(daily.filter("false"), speed, "d").first().status == "incomplete_data"
@@ -346,7 +346,7 @@ def test_circuit_breaker(spark):
     verdict = monitoring.circuit_breaker({"a": check(True), "b": check(False), "c": None, "d": check(None), "e": check(False)})
     row = verdict.first()
     assert (row.failed_checks, row.failed_count, row.action) == ("b, e", 2, "alert")
-    assert monitoring.alerts(verdict).first().message == "Streaming pipeline health degraded: b, e"
+    assert monitoring.alerts(verdict).first().message == "Checks of the stream failed: b, e"
     healthy = monitoring.circuit_breaker({"a": check(True), "c": None})
     assert healthy.first().action == "continue" and monitoring.alerts(healthy).count() == 0
 
@@ -401,3 +401,20 @@ def test_the_live_view_opens_one_batch(spark, tmp_path):
     speed_layer.register_live_views(spark, str(tmp_path), 2)
     view = spark.table(speed_layer.TRIPS_VIEW)
     assert [r.id for r in view.collect()] == ["t2"] and all("batch_id=00002" in f for f in view.inputFiles())
+
+
+def test_medians_of_many_columns_share_their_passes(spark):
+    import statistics as plain
+
+    rows = spark.range(4000).select(*[
+        F.when(F.col("id") % (k + 7) != 0, F.pow(F.col("id") * (k + 1) % 997, F.lit(k)) / 3).alias(f"c{k}") for k in range(1, 7)])
+    names = rows.columns
+    spark.sparkContext.setJobGroup("medians", "medians")
+    found = statistics.medians(rows, names)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("medians"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    data = rows.collect()
+    for c in names:
+        assert found[c] == pytest.approx(plain.median([r[c] for r in data if r[c] is not None]))
+    # The facts and at most four passes for six columns; each action is up to three jobs.
+    assert 0 < jobs <= 15

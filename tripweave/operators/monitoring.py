@@ -188,7 +188,7 @@ def alerts(verdict: DataFrame) -> DataFrame:
         F.lit("streaming_alert").alias("type"),
         F.lit("warning").alias("severity"),
         "failed_checks",
-        F.concat(F.lit("Streaming pipeline health degraded: "), F.col("failed_checks")).alias("message"),
+        F.concat(F.lit("Checks of the stream failed: "), F.col("failed_checks")).alias("message"),
     )
 
 

@@ -142,6 +142,6 @@ def reconcile_layers(
         )
         .withColumn(
             "discrepancies",
-            F.when(over, F.format_string("Average duration differs by %.2f%%", F.col("diff_pct"))).otherwise(""),
+            F.when(over, F.format_string("Mean durations are apart by %.2f%%", F.col("diff_pct"))).otherwise(""),
         )
     )

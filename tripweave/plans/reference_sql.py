@@ -152,7 +152,7 @@ _RELATIONS = {
     ),
     "reconciled": (
         "SELECT *, CASE WHEN diff_pct > 10 THEN 'discrepancy_detected' ELSE 'consistent' END AS status, "
-        "CASE WHEN diff_pct > 10 THEN printf('Average duration differs by %.2f%%', diff_pct) ELSE '' END AS discrepancies "
+        "CASE WHEN diff_pct > 10 THEN printf('Mean durations are apart by %.2f%%', diff_pct) ELSE '' END AS discrepancies "
         f"FROM (SELECT '{RUN_DATE}' AS date, total_trips AS batch_trips, avg_duration AS batch_avg_duration, "
         "(SELECT count(*) FROM trips) AS speed_records, "
         "(SELECT avg(coalesce(trip_duration, 0)) FROM trips) AS speed_avg_duration, "
@@ -479,7 +479,7 @@ _BODIES = {
     ),
     "alerts": (
         "SELECT 'streaming_alert' AS type, 'warning' AS severity, failed AS failed_checks, "
-        "'Streaming pipeline health degraded: ' || failed AS message FROM verdict WHERE n > 0"
+        "'Checks of the stream failed: ' || failed AS message FROM verdict WHERE n > 0"
     ),
     "ops_dashboard": (
         f"SELECT CAST(to_json(struct_pack(generated_at := '{AS_OF}', kafka := struct_pack(topic_health := "
