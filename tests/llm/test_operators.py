@@ -200,6 +200,19 @@ def test_one_of_each_group_stays(edge, docs):
         assert kept.count() == len(groups)
 
 
+def test_one_of_each_component_stays_whatever_its_id(spark):
+    def text(k):
+        return " ".join(f"w{k}x{i}" for i in range(60))
+
+    # Three unrelated texts without an id, one of them twice; id 1 with two unrelated texts; id 9 also as a copy of id 4.
+    data = [(None, text(0)), (None, text(1)), (None, text(1)), (None, text(2)), (1, text(3)), (1, text(4)), (1, text(4)),
+            (4, text(5)), (9, text(5)), (9, text(6)), (None, text(5)), (7, text(7)), (None, None), (None, "")]
+    frame = spark.createDataFrame(data, "doc_id long, text string")
+    got = Counter((d, t or "") for d, t in pairs(simhash_dedup.keep_one_of_each(frame)))
+    assert got == Counter([(None, text(0)), (None, text(1)), (None, text(2)), (1, text(3)), (1, text(4)), (4, text(5)), (9, text(6)),
+                           (7, text(7)), (None, "")])
+
+
 def test_mix_meets_targets(edge, nothing, spark):
     frame = table(spark, "/root/testdata/sf0.01", "documents")
     named = frame.withColumn("source", F.when(F.col("source") == "src7", None).when(F.col("source") < "src2", "hot").otherwise(F.col("source")))

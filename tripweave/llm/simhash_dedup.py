@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import Scratch, apart, together
+from tripweave.llm.common import Scratch, apart, beside_row, together
 from tripweave.llm.components import connected
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
@@ -162,6 +162,15 @@ def _batch(pairs: list[tuple[int, int]], again: list[tuple[int, int]]) -> pa.Rec
         [pa.array(a), pa.array(b), pa.array([False] * len(pairs) + [True] * len(again), pa.bool_())], ["a", "b", "again"])
 
 
+def _linked(docs: DataFrame, scratch: Scratch, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of each row, and for each fingerprint its least id and its ``root``: the least fingerprint reachable."""
+    marked = scratch.keep(fingerprints(docs), "fingerprints")
+    distinct = scratch.keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = scratch.keep(connected(links(distinct, scratch, radius), scratch), "roots")
+    return marked, distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """doc_id, ``fingerprint`` and ``component_id`` for each input row.
 
@@ -169,36 +178,45 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     reachable over fingerprints at most ``radius`` bits apart; null only where all ids of the component are null.
     Repeated rows and ids are rows like others; an empty table gives an empty result.
     """
-    scratch = Scratch(docs.sparkSession, "simhash")
-    marked = scratch.keep(fingerprints(docs), "fingerprints")
-    distinct = scratch.keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = scratch.keep(connected(links(distinct, scratch, radius), scratch), "roots")
-    found = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    marked, found = _linked(docs, Scratch(docs.sparkSession, "simhash"), radius)
     least = found.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = found.select("fp", "root").join(least, "root").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp")
 
 
+def _with_fingerprint(rows: DataFrame) -> DataFrame:
+    """``row``, ``text`` and ``id`` with ``fp`` beside them."""
+    def batch_of(batches):
+        for batch in batches:
+            found = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, "fp"])
+
+    return rows.mapInArrow(batch_of, beside_row(rows, "text string, id long, fp long"))
+
+
 def keep_one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` of least id in each component; of rows that share that id, one.
+    """One row of ``docs`` for each component: of its least id, should that id repeat there of the least fingerprint.
 
-    Where all ids of a component are null, one of its rows stays.
+    Where all ids of a component are null, one of its rows stays. An id that lies in several components may stay in each.
     """
-    members = near_duplicates(docs, radius).select("doc_id", "fp", "component_id")
-    # What stays: for each component its least id and, should that id repeat, the least fingerprint.
-    chosen = members.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.count("*").alias("n"))
     scratch = Scratch(docs.sparkSession, "simhash")
-    chosen = scratch.keep(chosen, "chosen")
+    marked, found = _linked(docs, scratch, radius)
+    # For each component its least id and the least fingerprint of that id; a fingerprint lies in one component.
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("x"))
+    often = marked.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("least")).agg(F.count("*").alias("n")).where("n > 1")
+    chosen = scratch.keep(first.select("x.none", "x.least", "x.fp").join(often, "least", "left").select(
+        F.col("least").alias("id"), "fp", "none", (F.col("none") | F.col("n").isNotNull()).alias("again")), "chosen")
     rows = apart(docs, F.col("doc_id").cast("long").alias("id"))
-    unique = chosen.where((F.col("n") == 1) & F.col("component_id").isNotNull())
-    kept = rows.join(unique.select(F.col("component_id").alias("id")), "id", "left_semi").select("row", "text")
-    if chosen.count() == unique.count():
+    kept = rows.join(chosen.where(~F.col("again")).select("id"), "id", "left_semi").select("row", "text")
+    rest = chosen.where("again")
+    if rest.isEmpty():
         return together(kept, docs)
-    # Ids that repeat, or are null: one row by its digest, which only these rows pay for.
-    repeated = chosen.where((F.col("n") > 1) | F.col("component_id").isNull()).select(F.col("component_id").alias("id"))
-    some = rows.join(repeated, rows["id"].eqNullSafe(repeated["id"]), "left_semi")
-    one = some.groupBy("id").agg(F.min_by(F.struct("row", "text"), F.xxhash64("text")).alias("x")).select("x.row", "x.text")
+    # Ids that repeat, or are null: one row by fingerprint and digest, which only these rows pay for.
+    some = rows.join(rest.where(~F.col("none")).select("id").distinct(), "id", "left_semi").select("row", "text", "id")
+    if not rest.where("none").isEmpty():
+        some = some.union(rows.where(F.col("id").isNull()).select("row", "text", "id"))
+    key = [F.col("id").isNull().alias("none"), F.coalesce("id", F.lit(0)).alias("key"), "fp"]
+    one = _with_fingerprint(some).groupBy(*key).agg(F.min_by(F.struct("row", "text"), F.xxhash64("text")).alias("x"))
+    one = one.join(rest.select(*key), ["none", "key", "fp"], "left_semi").select("x.row", "x.text")
     return together(kept.union(one), docs)
