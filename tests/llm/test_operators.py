@@ -296,6 +296,19 @@ def test_articles_of_templates_without_article_element(spark):
     assert html_wrappers.extract_articles(frame.limit(0)).count() == 0
 
 
+def test_texts_alike_in_the_sample_only_are_kept(spark):
+    def page(i):
+        head = "Breaking" if i < 40 else f"Special {i}"
+        return f"<body><article><h1>{head}</h1><h2>Share this</h2><p>News {i}</p></article></body>"
+
+    pages = [(i, "http://h.example/a", page(i)) for i in range(41)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    mark = F.xxhash64("page_id", "url", "html")
+    assert 40 not in [r[0] for r in frame.orderBy(mark).limit(html_wrappers.SAMPLE).select("page_id").collect()]
+    got = {r["page_id"]: r["text"] for r in html_wrappers.extract_articles(frame).collect()}
+    assert got == {i: f"{'Breaking' if i < 40 else f'Special {i}'}\nNews {i}" for i in range(41)}
+
+
 def test_articles_of_the_tables(spark):
     got = {r["page_id"]: r["text"] for r in html_wrappers.extract_articles(table(spark, SMALL, "pages")).collect()}
     for r in table(spark, SMALL, "pages").collect():

@@ -229,9 +229,10 @@ def _flat(nodes: list, always: bool = True) -> Iterator[tuple[str, object, bool]
 
 
 def learn_wrapper(pages: list[str]) -> dict:
-    """The wrapper of some pages, and for each of its texts whether it is part of the template.
+    """The wrapper of some pages, and for each of its texts the constant, if it may be part of the template, else None.
 
-    That is a constant which every page has, wherever it lies, while the pages differ in other texts.
+    That is a constant which every one of these pages has, wherever it lies, while they differ in other texts.
+    ``confirmed`` tells which of them all pages of the host have.
     """
     streams = [tokens(p) for p in pages]
     wrapper: list = []
@@ -240,11 +241,11 @@ def learn_wrapper(pages: list[str]) -> dict:
         wrapper = nodes if not k else aligned(wrapper, nodes)
     texts = [x for x in _flat(wrapper) if x[0] == "x"]
     different = len({" ".join(v for t, v in s if t == "x") for s in streams})
-    return {"nodes": wrapper, "template": [c is not None and always and different >= DIFFERENT for _, c, always in texts]}
+    return {"nodes": wrapper, "template": [c if always and different >= DIFFERENT else None for _, c, always in texts]}
 
 
-def read_along(wrapper: dict, stream: list[Token]) -> list[int] | None:
-    """The texts of a page, as numbers of tokens, that fill slots; None if the wrapper does not read the whole page."""
+def _read(wrapper: dict, stream: list[Token]) -> list[tuple[int, int]] | None:
+    """(number of the wrapper's text, number of the token) of a page's texts; None if the wrapper does not read the whole page."""
     found: list[tuple[int, int]] = []
 
     def size(nodes) -> int:
@@ -274,9 +275,20 @@ def read_along(wrapper: dict, stream: list[Token]) -> list[int] | None:
                 return None
         return i
 
-    if take(wrapper["nodes"], 0, 0) != len(stream):
-        return None
-    return [i for slot, i in found if not wrapper["template"][slot]]
+    return found if take(wrapper["nodes"], 0, 0) == len(stream) else None
+
+
+def read_along(wrapper: dict, stream: list[Token]) -> list[int] | None:
+    """The texts of a page, as numbers of tokens, that fill slots; None if the wrapper does not read the whole page."""
+    found = _read(wrapper, stream)
+    return None if found is None else [i for slot, i in found if wrapper["template"][slot] != stream[i][1]]
+
+
+def denied(wrapper: dict, stream: list[Token]) -> list[int]:
+    """The wrapper's texts that this page shows to be no template, as it has another text there or none."""
+    found = _read(wrapper, stream)
+    texts = {slot: stream[i][1] for slot, i in found or []}
+    return [] if found is None else [k for k, c in enumerate(wrapper["template"]) if c is not None and texts.get(k) != c]
 
 
 def article_text(page: str, wrapper: dict | None) -> str:
@@ -315,6 +327,48 @@ def wrappers(pages: DataFrame, scratch: Scratch, sample: int = SAMPLE) -> DataFr
     return scratch.keep(picked.groupBy("host").applyInPandas(learn, "host string, wrapper string"), "wrappers")
 
 
+def _pages_with(wrapper: DataFrame, pages: DataFrame) -> DataFrame:
+    """Pages beside the wrapper of their host."""
+    size = wrapper.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0
+    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of(F.col("url")).alias("host"))
+    return rows.join(F.broadcast(wrapper) if size <= BROADCAST_BYTES else wrapper, "host", "left")
+
+
+def confirmed(found: DataFrame, pages: DataFrame, scratch: Scratch) -> DataFrame:
+    """Wrappers whose template holds only what every page of the host that they read has: all pages are asked, not a sample."""
+    def ask(batches):
+        known: dict[str, dict] = {}
+        for batch in batches:
+            out = set()
+            for host, page, text in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wrapper"))):
+                if text not in known:
+                    if len(known) > 256:
+                        known.clear()
+                    known[text] = json.loads(text)
+                if any(c is not None for c in known[text]["template"]):
+                    out.update((host, k) for k in denied(known[text], tokens(page)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([h for h, _ in out], pa.string()), pa.array([k for _, k in out], pa.int32())], ["host", "slot"])
+
+    rows = _pages_with(found, pages).where(F.col("wrapper").isNotNull()).select("host", "html", "wrapper")
+    against = rows.mapInArrow(ask, "host string, slot int").groupBy("host").agg(F.collect_set("slot").alias("slots"))
+
+    def without(batches):
+        for batch in batches:
+            out = []
+            for text, slots in zip(batch.column("wrapper").to_pylist(), batch.column("slots").to_pylist()):
+                if slots:
+                    wrapper = json.loads(text)
+                    gone = set(slots)
+                    wrapper["template"] = [None if k in gone else c for k, c in enumerate(wrapper["template"])]
+                    text = json.dumps(wrapper, ensure_ascii=False)
+                out.append(text)
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.string())], ["host", "wrapper"])
+
+    return scratch.keep(found.join(against, "host", "left").select("host", "wrapper", "slots").mapInArrow(
+        without, "host string, wrapper string"), "confirmed")
+
+
 def extract_articles(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """page_id, url and ``text`` for each input row: the article, a line for each block.
 
@@ -322,10 +376,8 @@ def extract_articles(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     gives an empty result. Other columns of ``pages`` are not read.
     """
     scratch = Scratch(pages.sparkSession, "wrappers")
-    found = wrappers(pages, scratch, sample)
-    size = found.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0
-    rows = pages.select("page_id", "url", text_of("html").alias("html"), host_of(F.col("url")).alias("host"))
-    rows = rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "host", "left").select("page_id", "url", "html", "host", "wrapper")
+    found = confirmed(wrappers(pages, scratch, sample), pages, scratch)
+    rows = _pages_with(found, pages).select("page_id", "url", "html", "host", "wrapper")
 
     def read(batches):
         known: dict[str, dict] = {}
