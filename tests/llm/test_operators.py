@@ -309,6 +309,19 @@ def test_texts_alike_in_the_sample_only_are_kept(spark):
     assert got == {i: f"{'Breaking' if i < 40 else f'Special {i}'}\nNews {i}" for i in range(41)}
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='has-sidebar'><p>Body</div>", "<div class='no-sidebar'><p>Body</div>", "<article class='comments-open'><p>Body</article>",
+    "<main class='ad-free'><p>Body</main>", "<div id='search-results'><p>Body</div>", "<div class='overflow-hidden'><p>Body</div>",
+    "<div class='md:hidden' style='overflow: hidden'><p>Body</div>", "<div class='sidebar'><main><p>Body</main></div>",
+    "<form id=page><article><p>Body</article></form>", "<div class='menu'><article><p>Body</article></div>",
+    "<article><p>Body</article><div id=comments class=comments-area><article><p>nice</article></div>",
+    *[f"<p>Body</p><div {x}><p>aside</div>" for x in ("class='site-footer'", "class='x sidebar'", "id='cookie-bar'", "hidden", "aria-hidden=true",
+                                                      "style='color:red;display: none'", "class=a style='visibility:hidden'")],
+])
+def test_only_names_of_asides_send_text_away(page):
+    assert html_wrappers.article_text(f"<html><body class='has-sidebar'>{page}</body></html>", None) == "Body"
+
+
 def test_articles_of_the_tables(spark):
     got = {r["page_id"]: r["text"] for r in html_wrappers.extract_articles(table(spark, SMALL, "pages")).collect()}
     for r in table(spark, SMALL, "pages").collect():

@@ -43,6 +43,11 @@ ASIDE_WORDS = frozenset(
     "overlay newsletter subscribe subscription signup login sidebar menu nav navbar navigation breadcrumb breadcrumbs header "
     "masthead footer comment comments respond reply replies share sharing social related recommended widget toolbar pagination "
     "pager search copyright contentinfo complementary navigation dialog".split())
+#: Parts of a class or id that speak of an aside without being one, anywhere in it and after the aside's name.
+NOT_ASIDE = frozenset("has have no not non with without hide show".split())
+STATES = frozenset("free less open opened closed enabled disabled result results on off none".split())
+#: What marks a hidden element. Names of a class or id are split at white space, so none can be read as this.
+HIDE = "  hidden"
 #: Elements and words that mark the article.
 MAIN_TAGS = frozenset({"article", "main"})
 MAIN_WORDS = frozenset({"articlebody", "main"})
@@ -58,11 +63,24 @@ TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)"
     r"""(?P<attrs>(?:[^<>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>|(?P<text>[^<]+|<)""", re.S | re.I)
 MARKS = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+HIDDEN = re.compile(r"hidden|display", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=<>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+HIDING_STYLE = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 Token = tuple[str, str]  # ("<", opening mark), (">", element) or ("x", text)
 
 
+def is_hidden(attrs: str) -> bool:
+    """Whether an attribute or the inline style hides an element; names of classes and ids do not."""
+    for name, *values in ATTRIBUTE.findall(attrs):
+        name, value = name.lower(), "".join(values).strip().lower()
+        if (name == "hidden" and value != "false") or (name == "aria-hidden" and value == "true"):
+            return True
+        if name == "style" and HIDING_STYLE.search(value):
+            return True
+    return False
+
+
 def tokens(page: str) -> list[Token]:
     """Tags and blocks of text in order. Inline elements are part of the text; loose ends are left out."""
     out: list[Token] = []
@@ -89,7 +107,7 @@ def tokens(page: str) -> list[Token]:
             else:
                 attrs = m["attrs"]
                 marks = " ".join(w for x in MARKS.findall(attrs) for w in "".join(x).lower().split()) if "=" in attrs else ""
-                hidden = " hidden" if attrs and HIDDEN.search(attrs) else ""
+                hidden = HIDE if attrs and HIDDEN.search(attrs) and is_hidden(attrs) else ""
                 out.append(("<", f"{tag} {marks}".strip() + hidden))
                 if tag in VOID or attrs.rstrip().endswith("/"):
                     out.pop()
@@ -120,24 +138,55 @@ def is_main(mark: str) -> bool:
     return mark.split(" ", 1)[0] in MAIN_TAGS or bool(_words(mark) & MAIN_WORDS)
 
 
-def is_aside(path: tuple[str, ...]) -> bool:
-    """Whether a place is no article text. A header inside an article may hold its title and does not count."""
+def holds_page_text(mark: str) -> bool:
+    """Whether a mark is that of the page's main text, of which pages have one, and not of one article among others."""
+    tag, _, names = mark.partition(" ")
+    return tag == "main" or not MAIN_WORDS.isdisjoint(names.split())
+
+
+def aside_names(mark: str) -> set[str]:
+    """The aside words that names of a class or id are, begin with or end with; has-sidebar or ad-free is none."""
+    found = set()
+    for name in mark.split()[1:]:
+        parts = [x for x in re.split(r"[^a-z]+", name) if x]
+        if parts and NOT_ASIDE.isdisjoint(parts):
+            found.add(parts[-1])
+            if STATES.isdisjoint(parts[1:]):
+                found.add(parts[0])
+    return found & ASIDE_WORDS
+
+
+def is_aside(path: tuple[str, ...], spared: int = 0) -> bool:
+    """Whether a place is no article text. A header inside an article may hold its title and does not count.
+
+    The first ``spared`` elements, and those that hold the page's main text or are it, count only if hidden.
+    """
+    spared = max([spared, *(k + 1 for k, mark in enumerate(path) if holds_page_text(mark))][:2])
     inside = False
-    for mark in path:
-        tag, words = mark.split(" ", 1)[0], _words(mark)
-        if "hidden" in words or (tag in ASIDE_TAGS and not (inside and tag == "header")):
-            return True
-        if tag not in ("html", "body") and words & ASIDE_WORDS and not (inside and words & ASIDE_WORDS <= {"header"}):
+    for k, mark in enumerate(path):
+        if mark.endswith(HIDE):
             return True
+        if k >= spared:
+            tag = mark.split(" ", 1)[0]
+            if tag in ASIDE_TAGS and not (inside and tag == "header"):
+                return True
+            words = aside_names(mark.removesuffix(HIDE)) if tag not in ("html", "body") else set()
+            if words and not (inside and words <= {"header"}):
+                return True
         inside = inside or is_main(mark)
     return False
 
 
 def article_places(paths: list[tuple[str, ...]]) -> list[bool]:
-    """For each place whether it is article text: inside the article if one is marked, else anywhere but aside."""
+    """For each place whether it is article text: inside the article if one is marked, else anywhere but aside.
+
+    Where each marked article lies in an aside, it counts beside the other text: either may be the article.
+    """
     good = [not is_aside(p) for p in paths]
-    inside = [any(map(is_main, p)) for p in paths]
-    return [g and i for g, i in zip(good, inside)] if any(g and i for g, i in zip(good, inside)) else good
+    first = [next((k + 1 for k, m in enumerate(p) if is_main(m)), 0) for p in paths]
+    if any(g and i for g, i in zip(good, first)):
+        return [g and i > 0 for g, i in zip(good, first)]
+    return [g or (i > 0 and not is_aside(p, i)) for g, i, p in zip(good, first, paths)]
 
 
 # -- wrappers: lists of ["<", mark], [">", element], ["x", constant or None], ["?", [...]] and ["+", [...]]
