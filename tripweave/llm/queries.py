@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (
-    decontamination, html_wrappers, line_dedup, quality_rules, secret_scan, simhash_dedup, source_mixing, substring_dedup,
-    suffix_dedup, url_filter,
+    decontamination, fill_in_middle, hard_negatives, html_wrappers, line_dedup, quality_rules, secret_scan, simhash_dedup, source_mixing,
+    substring_dedup, suffix_dedup, url_filter, vector_dedup,
 )
 from tripweave.llm.common import table
 
@@ -102,6 +102,22 @@ def op10_decontamination(spark, sf_dir):
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_embedding_dedup(spark, sf_dir):
+    return vector_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    return fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("row")
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _NEXT = " || ' ' || ".join(["x", *[f"lead(x, {i}) OVER own" for i in range(1, 20)]])
@@ -190,3 +206,56 @@ found AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(found.n, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN found ON d.doc_id = found.doc_id"""
+
+#: A vector that can link: neither null nor zero, all components finite.
+_SOUND = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+ORACLE_SQL["op11_embedding_dedup"] = f"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE {_SOUND} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.9),
+reached AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u),
+least AS (SELECT u, min(v) AS v FROM reached GROUP BY u)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(l.v, e.vec_id)) AS component_id,
+  e.vec_id <= coalesce(l.v, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counts c ON e.vec_id = c.u LEFT JOIN least l ON e.vec_id = l.u"""
+
+ORACLE_SQL["op12_hard_negatives"] = f"""
+WITH part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE {_SOUND} AND label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM part a JOIN part b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+hard AS (
+  SELECT p.anchor_id, positive_id, positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id
+  WHERE NOT same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 3"""
+
+_UNITS = r"regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+')"
+_DRAW = "CAST('0x' || substr(sha256('42:' || CAST(doc_id AS VARCHAR)), {at}, 8) AS BIGINT) AS {name}"
+
+ORACLE_SQL["op13_fill_in_middle"] = rf"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, {_UNITS} AS u, {", ".join(_DRAW.format(at=8 * i + 1, name=f"h{i + 1}") for i in range(4))} FROM documents),
+cut AS (
+  SELECT doc_id, t, u, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts"""
