@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import settings as S
+from tripweave.sources.batch_store import Batch, BatchStore
 
 
 def duration_in_range() -> Column:
@@ -47,3 +50,13 @@ def written_since(ts: Column, as_of: Column, hours: int = 1) -> Column:
 def retain_recent(df: DataFrame, ts: str, as_of: Column, hours: int = S.RETENTION_HOURS) -> DataFrame:
     """Rows no older than ``hours``."""
     return df.filter(F.col(ts) >= as_of - F.make_dt_interval(hours=F.lit(hours)))
+
+
+def expire_batches(store: BatchStore, as_of: str, hours: int = S.RETENTION_HOURS) -> list[Batch]:
+    """Take the stored batches off whose newest row is older than ``hours`` before ``as_of`` (``yyyy-MM-dd HH:mm:ss``).
+
+    Whole batches go, so one that straddles the bound stays; ``retain_recent`` cuts its rows on read. The files are
+    deleted by the store's ``vacuum``.
+    """
+    before = datetime.fromisoformat(as_of) - timedelta(hours=hours)
+    return store.expire(before.isoformat(sep=" "))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave import settings as S
-from tripweave.functions.rows import side_by_side
+from tripweave.functions.rows import side_by_side, the_row
 from tripweave.functions.trip import computed_once, seconds_between
 from tripweave.operators.filters import written_since
 from tripweave.sources.json_rows import not_blank
@@ -201,3 +201,9 @@ def dashboard_document(sections: dict[str, dict[str, DataFrame]], stamp: Column)
     ]
     body = F.struct(stamp.alias("generated_at"), *layout)
     return side_by_side(parts).select(F.to_json(body, {"ignoreNullFields": "false"}).alias("document"))
+
+
+def healthy_metrics(verdict: DataFrame, checks: dict[str, DataFrame], stamp: Column) -> DataFrame:
+    """The metrics document of a round in which all checks passed, from one-row frames; no row otherwise."""
+    document = dashboard_document({"metrics": checks}, stamp)
+    return document.filter(the_row(verdict)["overall_healthy"])

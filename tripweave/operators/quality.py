@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripweave import settings as S
@@ -44,11 +44,10 @@ def passenger_anomaly() -> Column:
     return (p < 0) | (p > S.MAX_PASSENGERS)
 
 
-def raw_facts(trips: DataFrame) -> DataFrame:
-    """One row: size, nulls per required column, anomaly counts and the number of clean rows."""
+def _fact_columns() -> list[Column]:
     masks = [geo_anomaly(), duration_anomaly(), passenger_anomaly()]
     either = reduce(lambda a, b: a | b, [F.coalesce(m, F.lit(False)) for m in masks])
-    return trips.agg(
+    return [
         F.count(F.lit(1)).alias("row_count"),
         *[_holds(known(c).isNull()).alias(f"nulls_{c}") for c in REQUIRED_COLUMNS],
         _holds(masks[0]).alias("geographic_anomalies"),
@@ -56,7 +55,29 @@ def raw_facts(trips: DataFrame) -> DataFrame:
         _holds(masks[2]).alias("passenger_anomalies"),
         _holds(either).alias("total_anomalies"),
         _holds(is_clean()).alias("clean_count"),
-    )
+    ]
+
+
+def raw_facts(trips: DataFrame) -> DataFrame:
+    """One row: size, nulls per required column, anomaly counts and the number of clean rows."""
+    return trips.agg(*_fact_columns())
+
+
+class ObservedFacts:
+    """The row of ``raw_facts``, gathered by whichever job reads the trips first, such as the one that stores them.
+
+    ``trips`` must be used in place of the frame; a filter behind it does not change the facts, as they are taken where it stands.
+    """
+
+    def __init__(self, trips: DataFrame):
+        self._seen = Observation()
+        self._schema = raw_facts(trips).schema
+        self._spark = trips.sparkSession
+        self.trips = trips.observe(self._seen, *_fact_columns())
+
+    def frame(self) -> DataFrame:
+        """One row, once a job over ``trips`` has ended; it waits for that job."""
+        return self._spark.createDataFrame([tuple(self._seen.get[c] for c in self._schema.names)], self._schema)
 
 
 def _null_pct(column: str) -> Column:

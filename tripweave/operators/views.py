@@ -49,23 +49,38 @@ def daily_summary_basic(trips: DataFrame, run_date: str) -> DataFrame:
     ).select(F.lit(run_date).alias("date"), "*")
 
 
+_SUMMED = ("distance_km", "passenger_count", "speed_kmh", "is_rush_hour", "is_weekend")
+
+
+def duration_partials(clean: DataFrame, *keys: Column) -> DataFrame:
+    """Per distinct duration (and key) the rows and sums that ``daily_summary`` needs.
+
+    Partials of different rows can be stored apart and united in any order: median and deviation follow exactly from the counts,
+    so a new day costs its own rows only. Cleaning bounds the durations to some 7,000 values.
+    """
+    known = clean.filter(F.col("trip_duration").isNotNull())
+    return known.groupBy(*keys, "trip_duration").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"sum_{c}") for c in _SUMMED], *[F.count(c).alias(f"count_{c}") for c in _SUMMED[:3]])
+
+
 def daily_summary(clean: DataFrame, run_date: str) -> DataFrame:
     """One row over the whole cleaned input, with exact median and deviation.
 
-    Sums are first kept per distinct duration. Cleaning bounds those to some 7,000 values, so the
-    final task sees a table of fixed size instead of one partial state per input task.
+    Sums are first kept per distinct duration, so the final task sees a table of fixed size instead of one partial state
+    per input task.
     """
-    kept = ["distance_km", "passenger_count", "speed_kmh", "is_rush_hour", "is_weekend"]
-    per_duration = frequencies(
-        clean, "trip_duration",
-        *[F.sum(c).alias(f"sum_{c}") for c in kept],
-        *[F.count(c).alias(f"count_{c}") for c in kept[:3]],
-    )
+    return summary_of_partials(duration_partials(clean), run_date)
+
+
+def summary_of_partials(partials: DataFrame, run_date: str) -> DataFrame:
+    """The same from partials, of one table or of many days united."""
     n = F.col("n")
 
     def mean(c: str) -> Column:
         return F.try_divide(F.sum(f"sum_{c}"), F.sum(f"count_{c}").cast("double"))
 
+    # Days of one duration are summed first, which bounds what reaches the last task.
+    per_duration = partials.groupBy("trip_duration").agg(*[F.sum(c).alias(c) for c in partials.columns if c == "n" or c.startswith(("sum_", "count_"))])
     return per_duration.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("total_trips"),
         F.try_divide(F.sum(F.col("trip_duration") * n).cast("double"), F.sum(n).cast("double")).alias("avg_duration"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,7 +20,9 @@ from tripweave.plans.monitor_run import health_checks
 from tripweave.schemas import BATCH_FEATURES, TRAINING_FEATURES
 from tripweave.session import fresh_dir
 from tripweave.sources import documents, master, messages, speed_files, trips, view_store
-from tripweave.streaming import speed_layer
+from tripweave.sources.batch_store import BatchStore
+from tripweave.streaming import progress as stream_progress
+from tripweave.streaming import running, speed_layer, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,13 +147,57 @@ def speed_hourly_stats(spark, sf_dir):
 
 @query
 def stream_windowed_stats(spark, sf_dir):
+    """Every decoded trip counts in a window or as late for it."""
     log, out, progress = (fresh_dir(spark, n) for n in ("topic", "windows", "progress"))
-    for half in fx.message_halves(spark, sf_dir):
-        messages.append_to_folder(half, log)
+    for part in fx.message_deliveries(spark, sf_dir):
+        messages.append_to_folder(part, log)
         stream = messages.read_folder_stream(spark, log)
-        speed_layer.start_windowed_stats(stream, out, progress, trigger=None).awaitTermination()
-    rows = spark.read.parquet(out)
-    return rows.select(_text("window_start"), _text("window_end"), "trip_count", "total_duration")
+        windows.start_windowed_counts(stream, out, progress, trigger=None).awaitTermination()
+    rows = windows.read_windows(spark, out)
+    return rows.withColumns({c: _text(c) for c in ("window_start", "window_end")})
+
+
+@query
+def stream_running_error(spark, sf_dir):
+    """Two deliveries with a restart between them; full batches of arrivals of each vendor."""
+    log, out, progress = (fresh_dir(spark, n) for n in ("topic", "running", "progress"))
+    model = _line(spark, sf_dir)
+    for part in fx.message_deliveries(spark, sf_dir)[:2]:
+        messages.append_to_folder(part, log)
+        decoded = messages.decode(messages.read_folder_stream(spark, log)).filter("vendor_id IS NOT NULL")
+        running.start_running_error(
+            speed_layer.enrich(decoded, model, _as_of()), out, progress, "vendor_id", ARRIVAL, flush_ms=3_600_000, trigger=None).awaitTermination()
+    return rounded(spark.read.parquet(out), 4)
+
+
+@query
+def stream_scoring_failures(spark, sf_dir):
+    """Rows and rows without a prediction in each stored batch, as counted by the pass that wrote it."""
+    log, out = fresh_dir(spark, "topic"), fresh_dir(spark, "speed")
+    messages.append_to_folder(fx.unscorable_messages(spark, sf_dir), log)
+    speed_layer.start_speed_layer(
+        messages.read_folder_stream(spark, log), out, fresh_dir(spark, "progress"), _line(spark, sf_dir), trigger=None, processed_time=_as_of(),
+    ).awaitTermination()
+    return BatchStore(spark, out).facts("unscored")
+
+
+@query
+def stream_lag(spark, sf_dir):
+    """What a query has not read of its folder, by the query's own progress reports."""
+    log, reports, name = fresh_dir(spark, "topic"), fresh_dir(spark, "reports"), f"reader-{uuid.uuid4().hex}"
+    first, second = fx.message_halves(spark, sf_dir)
+    messages.append_to_folder(first, log)
+    listener = stream_progress.ProgressLog(spark, reports).attach()
+    try:
+        speed_layer.start_ingest(
+            messages.read_folder_stream(spark, log), fresh_dir(spark, "ingest"), fresh_dir(spark, "progress"), trigger=None, name=name).awaitTermination()
+        stream_progress.wait_for_reports(spark)
+    finally:
+        listener.detach()
+    messages.append_to_folder(second, log)
+    read = stream_progress.rows_read(stream_progress.read_progress(spark, reports).filter(F.col("name") == name), fx.TOPIC)
+    lag = monitoring.consumer_lag(stream_progress.folder_ends(spark, log, fx.TOPIC), read)
+    return lag.withColumn("group_id", F.lit("reader"))
 
 
 @query
@@ -242,6 +289,34 @@ def retain_recent(spark, sf_dir):
     return kept.select("id", _text("processed_time"))
 
 
+def _hourly_store(spark, sf_dir) -> BatchStore:
+    """All trips as stored hourly batches, of which those past retention are taken off."""
+    rows = fx.stamped(fx.trips(spark, sf_dir, "id", "pickup_datetime"))
+    store = BatchStore(spark, fresh_dir(spark, "speed"))
+    store.write_many(rows.select("batch_id", "id", F.date_format("processed_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("processed_time")), fx.AS_OF)
+    return store
+
+
+@query
+def stored_batches(spark, sf_dir):
+    return _hourly_store(spark, sf_dir).counts().select("batch_id", "records", F.substring("newest", 1, 19).alias("newest"))
+
+
+@query
+def expired_batches(spark, sf_dir):
+    """Batches that retention takes off the manifest and whose folders are then deleted, beside what stays."""
+    store = _hourly_store(spark, sf_dir)
+    gone = filters.expire_batches(store, fx.AS_OF)
+    deleted = store.vacuum(0)
+    left = store.counts()
+    stored = spark.read.schema("id string").json(store.paths(list(store.snapshot().batches.values())) or [store.base + "/batches"])
+    return left.agg(F.count(F.lit(1)).alias("batches_left"), F.coalesce(F.sum("records"), F.lit(0)).alias("records_left")).withColumns({
+        "batches_expired": F.lit(len(gone)).cast("long"), "records_expired": F.lit(sum(b.records for b in gone)).cast("long"),
+        "folders_deleted": F.lit(len(deleted)).cast("long"),
+        "rows_readable": stored.agg(F.count(F.lit(1))).scalar(),
+    })
+
+
 @query
 def pickup_map_points(spark, sf_dir):
     return rounded(serving.pickup_map_points(fx.trips(spark, sf_dir, "pickup_latitude", "pickup_longitude")))
@@ -269,6 +344,17 @@ def daily_summary(spark, sf_dir):
     return rounded(views.daily_summary(fx.clean(spark, sf_dir), fx.RUN_DATE), 4)
 
 
+@query
+def daily_summary_incremental(spark, sf_dir):
+    """Stored partials of the days, the last week delivered later and one week twice, merged on read."""
+    base, rows = fresh_dir(spark, "partials"), fx.clean(spark, sf_dir)
+    late = F.col("pickup_datetime") >= fx.timestamp("2024-01-24 00:00:00")
+    again = F.col("pickup_datetime") >= fx.timestamp("2024-01-17 00:00:00")
+    for part in (~late, again):
+        view_store.write_partials(rows.filter(part), base)
+    return rounded(view_store.read_summary(spark, base, fx.RUN_DATE), 4)
+
+
 @query
 def vendor_stats_basic(spark, sf_dir):
     return rounded(views.vendor_stats_basic(fx.featured(spark, sf_dir)))
@@ -317,6 +403,14 @@ def quality_gate(spark, sf_dir):
     return rounded(quality.quality_gate(quality.raw_facts(fx.trips(spark, sf_dir))))
 
 
+@query
+def quality_gate_while_writing(spark, sf_dir):
+    """The gate by facts that the pass storing the trips has counted; no second scan."""
+    counted = quality.ObservedFacts(fx.trips(spark, sf_dir))
+    trips.write_trips(counted.trips, fresh_dir(spark, "raw"))
+    return rounded(quality.quality_gate(counted.frame()))
+
+
 @query
 def anomaly_counts(spark, sf_dir):
     return rounded(quality.anomaly_counts(quality.raw_facts(fx.trips(spark, sf_dir))))
@@ -474,12 +568,12 @@ def speed_record_quality(spark, sf_dir):
     return rounded(monitoring.speed_record_quality(fx.messages(spark, sf_dir)))
 
 
-def _verdict(spark, sf_dir, age: float, share: float) -> DataFrame:
+def _verdict(spark, sf_dir, age: float, share: float, rate: float = S.MIN_THROUGHPUT_PER_MINUTE) -> DataFrame:
     writes = _writes(spark, sf_dir)
     return monitoring.circuit_breaker(health_checks(
         monitoring.topic_health(fx.topic_ends(spark, sf_dir), fx.TOPIC),
         monitoring.speed_freshness(writes, "processed_time", _as_of(), limit=age),
-        monitoring.speed_throughput(writes, "batch_id", "processed_time", _as_of()),
+        monitoring.speed_throughput(writes, "batch_id", "processed_time", _as_of(), rate),
         monitoring.speed_record_quality(fx.messages(spark, sf_dir), threshold=share),
     ))
 
@@ -516,6 +610,21 @@ def ops_dashboard(spark, sf_dir):
     )
 
 
+@query
+def healthy_metrics(spark, sf_dir):
+    """The metrics document of a healthy round; none where a check of the round fails."""
+    return monitoring.healthy_metrics(
+        _verdict(spark, sf_dir, S.MAX_DATA_AGE_MINUTES, S.RECORD_QUALITY_THRESHOLD, rate=0.01),
+        {
+            "topic_health": monitoring.topic_health(fx.topic_ends(spark, sf_dir), fx.TOPIC),
+            "freshness": monitoring.speed_freshness(_writes(spark, sf_dir), "processed_time", _as_of()).select("is_fresh"),
+            "throughput": rounded(monitoring.speed_throughput(_writes(spark, sf_dir), "batch_id", "processed_time", _as_of(), 0.01), 4),
+            "data_quality": rounded(monitoring.speed_record_quality(fx.messages(spark, sf_dir)), 4),
+        },
+        F.lit(fx.AS_OF),
+    )
+
+
 # -- models ----------------------------------------------------------------------------------
 
 @query
@@ -551,6 +660,13 @@ def score_trips(spark, sf_dir):
     return rounded(scored.select("id", "predicted_duration", "prediction_error"), 4)
 
 
+@query
+def score_isolated(spark, sf_dir):
+    """Messages that no model can score have no prediction; all others have theirs."""
+    scored = speed_layer.enrich(messages.decode(fx.unscorable_messages(spark, sf_dir)), _line(spark, sf_dir), _as_of())
+    return rounded(scored.select("id", "predicted_duration", "prediction_error"), 4)
+
+
 @query
 def score_without_model(spark, sf_dir):
     scored = speed_layer.enrich(messages.decode(fx.messages(spark, sf_dir)), None, _as_of())

@@ -121,6 +121,34 @@ def message_halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [everything.filter(odd == 0), everything.filter(odd == 1)]
 
 
+#: Deliveries in order of time: before and after this, and rows held back until the end, almost all of them late by then.
+DELIVERY_CUT = "2024-01-15 00:00:00"
+HELD_BACK = 37
+
+
+def message_deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The messages as three deliveries in order of time; one message in ``HELD_BACK`` comes with the last, however old it is."""
+    sent = messages(spark, sf_dir).withColumns({
+        "n": F.substring("key", 3, 20).cast("bigint"), "at": F.get_json_object("value", "$.pickup_datetime")})
+    held = F.col("n") % HELD_BACK == 0
+    early = F.coalesce(F.col("at") < DELIVERY_CUT, F.lit(True))
+    return [sent.filter(f).select("key", "value") for f in (~held & early, ~held & ~early, held)]
+
+
+# What makes a message unscorable, by the trip's number; the first that applies.
+UNSCORABLE_KIND = (
+    "CASE WHEN CAST(substr(id, 3) AS BIGINT) % 73 = 0 THEN 'no_time' WHEN CAST(substr(id, 3) AS BIGINT) % 79 = 0 THEN 'no_number' ELSE 'ok' END"
+)
+
+
+def unscorable_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, some with a pickup time that is none or a latitude that is not a number."""
+    text, kind = F.col("value"), F.expr(UNSCORABLE_KIND)
+    damaged = F.when(kind == "no_time", F.regexp_replace(text, r'"pickup_datetime":"[^"]*"', '"pickup_datetime":"soon"')).when(
+        kind == "no_number", F.regexp_replace(text, r'"pickup_latitude":[^,]+', '"pickup_latitude":NaN')).otherwise(text)
+    return computed_once(messages(spark, sf_dir).withColumn("id", F.col("key")), F.col("key"), damaged.alias("value"))
+
+
 def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message log without offsets: one topic partition per vendor."""
     return trips(spark, sf_dir, "id", "vendor_id", "pickup_datetime").select(

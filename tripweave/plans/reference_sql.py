@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tripweave.plans.fixtures import AS_OF, MESSAGE_KIND, RUN_DATE, STREAM_START, TOPIC, TRIP_COLUMNS
+from tripweave.plans.fixtures import AS_OF, DELIVERY_CUT, HELD_BACK, MESSAGE_KIND, RUN_DATE, STREAM_START, TOPIC, TRIP_COLUMNS, UNSCORABLE_KIND
 from tripweave.schemas import TRAINING_FEATURES
+from tripweave.settings import MAX_DATA_AGE_MINUTES, RECORD_QUALITY_THRESHOLD
 
 _TRIPS = ", ".join(f"{expr} AS {name}" for name, expr in TRIP_COLUMNS.items())
 _CLEAN = (
@@ -92,6 +93,9 @@ _RELATIONS = {
         "CAST(month(pickup_datetime) AS INT) AS month, date_trunc('second', pickup_datetime) AS pickup_at, "
         f"{_KM} AS distance_km FROM msgs WHERE kind NOT IN ('malformed', 'blank')"
     ),
+    "delivered": (
+        f"SELECT *, CASE WHEN CAST(substr(id, 3) AS BIGINT) % {HELD_BACK} = 0 THEN 2 WHEN pickup_datetime < '{DELIVERY_CUT}' THEN 0 ELSE 1 END AS delivery FROM decoded"
+    ),
     "scored": (
         "SELECT *, abs(trip_duration - predicted_duration) AS prediction_error "
         "FROM (SELECT decoded.*, intercept + slope * distance_km AS predicted_duration FROM decoded, line)"
@@ -264,12 +268,26 @@ _BODIES = {
         "FROM scored GROUP BY half, hour"
     ),
     "stream_windowed_stats": (
-        "SELECT strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, "
-        "strftime(d + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS trip_count, "
-        "CAST(sum(trip_duration) AS BIGINT) AS total_duration "
-        "FROM (SELECT *, date_trunc('day', pickup_at) AS d, "
-        "max(pickup_at) FILTER (WHERE half = 0) OVER () - INTERVAL 1 HOUR AS w1, max(pickup_at) OVER () - INTERVAL 1 HOUR AS w2 FROM decoded) "
-        "WHERE d + INTERVAL 1 DAY <= w2 AND (half = 0 OR d + INTERVAL 1 DAY > w1) GROUP BY d"
+        "SELECT strftime(d, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(d + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end, "
+        "count(*) FILTER (WHERE NOT late) AS trip_count, CAST(coalesce(sum(trip_duration) FILTER (WHERE NOT late), 0) AS BIGINT) AS total_duration, "
+        "count(*) FILTER (WHERE late) AS late_count, CAST(coalesce(sum(trip_duration) FILTER (WHERE late), 0) AS BIGINT) AS late_duration, "
+        "d + INTERVAL 1 DAY <= max(w3) AS is_final FROM (SELECT *, coalesce(d + INTERVAL 1 DAY <= CASE delivery WHEN 1 THEN w1 WHEN 2 THEN w2 END, false) "
+        "AS late FROM (SELECT *, date_trunc('day', pickup_at) AS d, max(pickup_at) FILTER (WHERE delivery = 0) OVER () - INTERVAL 1 HOUR AS w1, "
+        "max(pickup_at) FILTER (WHERE delivery <= 1) OVER () - INTERVAL 1 HOUR AS w2, max(pickup_at) OVER () - INTERVAL 1 HOUR AS w3 FROM delivered)) GROUP BY d"
+    ),
+    "stream_running_error": (
+        "SELECT CAST(vendor_id AS VARCHAR) AS key, id, processed, round(avg_error, 4) AS avg_error, (processed - 1) // 10 AS batch_id FROM ("
+        "SELECT vendor_id, id, row_number() OVER w AS processed, avg(coalesce(prediction_error, 0)) OVER w AS avg_error, "
+        "count(*) OVER (PARTITION BY vendor_id) AS n FROM scored JOIN (SELECT id, delivery FROM delivered) USING (id) "
+        "WHERE vendor_id IS NOT NULL AND delivery < 2 WINDOW w AS (PARTITION BY vendor_id ORDER BY pickup_datetime, id ROWS UNBOUNDED PRECEDING)) "
+        "WHERE processed <= n - n % 10"
+    ),
+    "stream_scoring_failures": (
+        f"SELECT 0 AS batch_id, count(*) AS records, count(*) FILTER (WHERE {UNSCORABLE_KIND} <> 'ok') AS unscored FROM scored HAVING count(*) > 0"
+    ),
+    "stream_lag": (
+        "SELECT 'reader' AS group_id, count(*) FILTER (WHERE half = 1) AS lag, count(*) FILTER (WHERE half = 0) AS committed_total, "
+        "count(*) FILTER (WHERE half = 1) AS total_lag, count(*) FILTER (WHERE half = 1) <= 1000 AS is_acceptable FROM (SELECT vendor_id - 1 AS half FROM trips)"
     ),
     "speed_recent_batches": (
         f"SELECT {_DAY} AS batch_id, id, vendor_id, trip_duration, round(distance_km, 6) AS distance_km, "
@@ -308,6 +326,13 @@ _BODIES = {
         f"SELECT id, {_SECOND.format('processed_time')} AS processed_time FROM stamped "
         f"WHERE processed_time >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR"
     ),
+    "stored_batches": f"SELECT batch_id, records, {_SECOND.format('written')} AS newest FROM files",
+    "expired_batches": (
+        "SELECT count(*) FILTER (WHERE NOT old) AS batches_left, CAST(coalesce(sum(records) FILTER (WHERE NOT old), 0) AS BIGINT) AS records_left, "
+        "count(*) FILTER (WHERE old) AS batches_expired, CAST(coalesce(sum(records) FILTER (WHERE old), 0) AS BIGINT) AS records_expired, "
+        "count(*) FILTER (WHERE old) AS folders_deleted, CAST(coalesce(sum(records) FILTER (WHERE NOT old), 0) AS BIGINT) AS rows_readable "
+        f"FROM (SELECT *, written < TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR AS old FROM files)"
+    ),
     "pickup_map_points": (
         "SELECT round(pickup_latitude, 6) AS lat, round(pickup_longitude, 6) AS lon FROM trips "
         "WHERE pickup_latitude > 40.5 AND pickup_latitude < 41 AND pickup_longitude > -74.3 AND pickup_longitude < -73.7"
@@ -331,6 +356,12 @@ _BODIES = {
         + ", CAST(total_passengers AS BIGINT) AS total_passengers, CAST(rush_hour_trips AS BIGINT) AS rush_hour_trips, "
         "CAST(weekend_trips AS BIGINT) AS weekend_trips FROM daily"
     ),
+    "daily_summary_incremental": (
+        "SELECT date, total_trips, "
+        + _round("avg_duration median_duration std_duration avg_distance total_distance avg_passengers avg_speed", 4)
+        + ", CAST(total_passengers AS BIGINT) AS total_passengers, CAST(rush_hour_trips AS BIGINT) AS rush_hour_trips, "
+        "CAST(weekend_trips AS BIGINT) AS weekend_trips FROM daily"
+    ),
     "vendor_stats_basic": (
         "SELECT vendor_id, round(avg(trip_duration), 6) AS avg_duration, round(avg(distance_km), 6) AS avg_distance, "
         "count(id) AS trip_count FROM feat GROUP BY vendor_id"
@@ -366,6 +397,9 @@ _BODIES = {
     "quality_gate": (
         "SELECT row_count, round(quality_score, 6) AS quality_score, quality_score >= 0.95 AS passed FROM quality"
     ),
+    "quality_gate_while_writing": (
+        "SELECT row_count, round(quality_score, 6) AS quality_score, quality_score >= 0.95 AS passed FROM quality"
+    ),
     "anomaly_counts": (
         "SELECT geographic_anomalies, duration_anomalies, passenger_anomalies, total_anomalies, "
         "round(total_anomalies * 100 / n::DOUBLE, 6) AS anomaly_percentage FROM anomalies"
@@ -481,6 +515,19 @@ _BODIES = {
         "SELECT 'streaming_alert' AS type, 'warning' AS severity, failed AS failed_checks, "
         "'Checks of the stream failed: ' || failed AS message FROM verdict WHERE n > 0"
     ),
+    "healthy_metrics": (
+        f"SELECT CAST(to_json(struct_pack(generated_at := '{AS_OF}', metrics := struct_pack(topic_health := "
+        f"struct_pack(topic := '{TOPIC}', topic_exists := true, partitions := (SELECT count(*) FROM ends), "
+        "message_count_estimate := (SELECT CAST(sum(end_offset) AS BIGINT) FROM ends), topic_healthy := true), "
+        "freshness := struct_pack(is_fresh := true), throughput := (SELECT struct_pack(files := files, total_records := total_records, "
+        "files_last_hour := files_last_hour, records_last_hour := records_last_hour, "
+        "throughput_per_minute := round(throughput_per_minute, 4), is_healthy := true) FROM throughput), "
+        "data_quality := (SELECT struct_pack(line_count := line_count, sample_size := sample_size, "
+        "valid_records := valid_records, invalid_records := sample_size - valid_records, "
+        "quality_score := round(valid_records / sample_size::DOUBLE, 4), is_acceptable := true) FROM records)))) AS VARCHAR) AS document "
+        f"FROM throughput, records WHERE (SELECT epoch(TIMESTAMP '{AS_OF}' - max(processed_time)) / 60 FROM stamped) <= {MAX_DATA_AGE_MINUTES} "
+        f"AND throughput_per_minute >= 0.01 AND valid_records / sample_size::DOUBLE >= {RECORD_QUALITY_THRESHOLD}"
+    ),
     "ops_dashboard": (
         f"SELECT CAST(to_json(struct_pack(generated_at := '{AS_OF}', kafka := struct_pack(topic_health := "
         f"struct_pack(topic := '{TOPIC}', topic_exists := true, partitions := (SELECT count(*) FROM ends), "
@@ -512,6 +559,10 @@ _BODIES = {
     ),
     "linear_baseline": f"SELECT {_round('slope intercept r2', 4)}, CAST(n AS BIGINT) AS n FROM line",
     "score_trips": f"SELECT id, {_round('predicted_duration prediction_error', 4)} FROM scored",
+    "score_isolated": (
+        f"SELECT id, CASE WHEN {UNSCORABLE_KIND} = 'ok' THEN round(predicted_duration, 4) END AS predicted_duration, "
+        f"CASE WHEN {UNSCORABLE_KIND} = 'ok' THEN round(prediction_error, 4) END AS prediction_error FROM scored"
+    ),
     "score_without_model": (
         "SELECT id, round(distance_km, 6) AS distance_km, CAST(NULL AS DOUBLE) AS predicted_duration, "
         "CAST(NULL AS DOUBLE) AS prediction_error FROM decoded"

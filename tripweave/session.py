@@ -47,18 +47,33 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Folders that ``materialize`` wrote for each application, until ``release``.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used yet."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> int:
+    """Delete what ``materialize`` wrote so far in this application; frames built on it must not be used afterwards."""
+    sc = spark.sparkContext
+    paths = _WRITTEN.pop(sc.applicationId, [])
+    for path in paths:
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     This cuts the lineage: a lost executor cannot change what was computed once, and later reads
-    fetch only the columns they need.
+    fetch only the columns they need. ``release`` deletes the rows.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, "rows")
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

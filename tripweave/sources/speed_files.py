@@ -1,7 +1,7 @@
 """Speed-layer output: JSON lines, one folder per micro-batch.
 
-A batch owns ``batch_id=<00000>`` and overwrites it, so a batch that is run again after a failure
-replaces its own output and nothing else. Only ``batch_id=*`` is ever read, so other documents in
+The speed layer stores its batches behind a manifest (``batch_store``), which then says what is read. Folders without one, as
+other writers leave them, hold ``batch_id=<00000>`` folders; only these are read, so other documents in
 the folder are not taken for data.
 """
 
@@ -9,15 +9,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripweave import settings as S
 from tripweave.schemas import SPEED_SCHEMA
+from tripweave.sources.batch_store import Batch, BatchStore
 from tripweave.sources.json_rows import is_record, not_blank, parsed_lines, typed
 
 _BATCH_IN_PATH = r"batch_id=(\d+)"
+_BATCH_IN_STORE = r"/batches/(?:many-[0-9a-f]+/batch_id=)?0*(\d+)"
 _ROW = StructType([f for f in SPEED_SCHEMA.fields if f.name != "batch_id"])
 
 
@@ -26,12 +28,23 @@ def batch_folder(base: str, batch_id: int) -> str:
 
 
 def write_batch(rows: DataFrame, base: str, batch_id: int) -> str:
-    """One micro-batch; the id is kept in the folder name."""
+    """One micro-batch without a manifest; the id is kept in the folder name."""
     path = batch_folder(base, batch_id)
     rows.drop("batch_id").write.mode("overwrite").json(path)
     return path
 
 
+def store_batch(rows: DataFrame, base: str, batch_id: int, written: str, **counted: Column) -> Batch:
+    """One micro-batch behind the manifest. Its row count, newest row and the ``counted`` facts come from the pass that writes it."""
+    store, seen = BatchStore(rows.sparkSession, base), Observation()
+    counting = [F.count(F.lit(1)).alias("records"), F.max("processed_time").alias("newest"), *[e.alias(n) for n, e in counted.items()]]
+    folder = store.stage(rows.observe(seen, *counting), batch_id)
+    facts = dict(seen.get)
+    batch = Batch(batch_id, folder, facts.pop("records"), written, facts.pop("newest"), facts)
+    store.commit(batch)
+    return batch
+
+
 def write_batches(rows: DataFrame, base: str) -> str:
     """Many batches at once, by their ``batch_id``."""
     name = F.lpad(F.col("batch_id").cast("string"), 5, "0")
@@ -39,9 +52,20 @@ def write_batches(rows: DataFrame, base: str) -> str:
     return base
 
 
-def _lines(spark: SparkSession, base: str, batch_id: int | None, ignore_missing: bool) -> DataFrame:
-    folders = f"{base}/batch_id=*" if batch_id is None else batch_folder(base, batch_id)
-    lines = spark.read.options(basePath=base, ignoreMissingFiles=ignore_missing).text(folders)
+def _lines(spark: SparkSession, base: str, batch_ids: list[int] | None, ignore_missing: bool) -> DataFrame:
+    store = BatchStore(spark, base)
+    reader = spark.read.options(ignoreMissingFiles=ignore_missing)
+    if store.exists():
+        live = store.snapshot().batches
+        held = [live[i] for i in (sorted(live) if batch_ids is None else batch_ids) if i in live]
+        if not held:
+            lines = spark.createDataFrame([], "value string, batch_id int")
+        else:
+            number = F.regexp_extract(F.col("_metadata.file_path"), _BATCH_IN_STORE, 1).cast("int")
+            lines = reader.text(store.paths(held)).select("value", number.alias("batch_id"))
+        return parsed_lines(lines, F.col("value"), _ROW, F.col("batch_id"))
+    folders = [f"{base}/batch_id=*"] if batch_ids is None else [batch_folder(base, i) for i in batch_ids]
+    lines = reader.option("basePath", base).text(folders)
     return parsed_lines(lines, F.col("value"), _ROW, F.col("batch_id").cast("int").alias("batch_id"))
 
 
@@ -51,13 +75,17 @@ def read_batches(spark: SparkSession, base: str, batch_id: int | None = None, ig
     A line is a row if every field of it has its type, whichever columns a query asks for; ``read_rejects`` has the others.
     ``ignore_missing`` passes over files that retention removes between listing and reading; without it that is an error.
     """
-    rows = _lines(spark, base, batch_id, ignore_missing).filter(is_record(_ROW))
+    return _rows(spark, base, None if batch_id is None else [batch_id], ignore_missing)
+
+
+def _rows(spark: SparkSession, base: str, batch_ids: list[int] | None, ignore_missing: bool = False) -> DataFrame:
+    rows = _lines(spark, base, batch_ids, ignore_missing).filter(is_record(_ROW))
     return rows.select(*typed(_ROW), "batch_id").select(*SPEED_SCHEMA.fieldNames())
 
 
 def read_rejects(spark: SparkSession, base: str, batch_id: int | None = None) -> DataFrame:
     """(batch_id, value) of the lines that are not blank and no rows."""
-    return _lines(spark, base, batch_id, False).filter(~is_record(_ROW)).select("batch_id", "value")
+    return _lines(spark, base, None if batch_id is None else [batch_id], False).filter(~is_record(_ROW)).select("batch_id", "value")
 
 
 def files(spark: SparkSession, base: str) -> DataFrame:
@@ -70,7 +98,10 @@ def files(spark: SparkSession, base: str) -> DataFrame:
 
 
 def recent_batch_ids(spark: SparkSession, base: str, n: int = S.RECENT_FILES, by: str = "batch_id") -> list[int]:
-    """The newest ``n`` batches, by number or by the time they were ``modified``."""
+    """The newest ``n`` batches, by number or by the time they were ``modified``; a manifest answers without any listing."""
+    store = BatchStore(spark, base)
+    if store.exists():
+        return [b.batch_id for b in store.snapshot().newest(n, "batch_id" if by == "batch_id" else "written")]
     newest = (
         files(spark, base).groupBy("batch_id").agg(F.max("modified").alias("modified"))
         .orderBy(F.col(by).desc(), F.col("batch_id").desc()).limit(n)
@@ -80,11 +111,7 @@ def recent_batch_ids(spark: SparkSession, base: str, n: int = S.RECENT_FILES, by
 
 def read_recent(spark: SparkSession, bases: list[str], n: int = S.RECENT_FILES, by: str = "batch_id") -> DataFrame:
     """The newest ``n`` batches of each folder, united by column name; only their files are opened."""
-    frames = []
-    for base in bases:
-        rows = read_batches(spark, base)
-        frames.append(rows.filter(F.col("batch_id").isin(recent_batch_ids(spark, base, n, by))))
-    return union_all(frames)
+    return union_all([_rows(spark, base, recent_batch_ids(spark, base, n, by)) for base in bases])
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -93,7 +120,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def inventory(spark: SparkSession, base: str) -> DataFrame:
-    """(name, records, modified) per batch folder, counting non-blank lines."""
+    """(name, records, modified) per batch folder, counting non-blank lines; of a manifest, what was counted while writing."""
+    store = BatchStore(spark, base)
+    if store.exists():
+        return store.counts().select(
+            F.format_string("batch_id=%05d", "batch_id").alias("name"), "records", F.col("written").try_cast("timestamp").alias("modified"))
     meta = F.col("_metadata")
     lines = (
         spark.read.option("recursiveFileLookup", True).text(f"{base}/batch_id=*")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tripweave import settings as S
 from tripweave.functions.trip import parse_pickup, with_distance, with_time_parts
-from tripweave.operators.scoring import score
-from tripweave.schemas import SPEED_SCHEMA
+from tripweave.operators.scoring import score, validated
+from tripweave.schemas import BATCH_FEATURES, SPEED_SCHEMA, TRAINING_FEATURES
 from tripweave.sources import speed_files
 from tripweave.sources.messages import decode, rejected
 
@@ -51,12 +53,18 @@ def batch_writer(
     spark: SparkSession, out: str, model=None, processed_time: Column | None = None,
     after: Callable[[int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The function that handles one micro-batch of decoded messages. Empty batches leave no trace."""
+    """The function that handles one micro-batch of decoded messages. Empty batches leave no trace.
+
+    The rows are written beside the stored batches and become visible with their manifest entry, which also says how many got no
+    prediction though there is a model.
+    """
+    unscored = F.count(F.when(F.col("predicted_duration").isNull(), 1)) if model is not None else F.lit(0).cast("long")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        speed_files.write_batch(enrich(batch, model, processed_time), out, batch_id)
+        written = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+        speed_files.store_batch(enrich(batch, model, processed_time), out, batch_id, written, unscored=unscored)
         register_live_views(spark, out, batch_id)
         if after:
             after(batch_id)
@@ -64,6 +72,13 @@ def batch_writer(
     return handle
 
 
+def _model_inputs(spark: SparkSession) -> DataFrame:
+    """An empty frame with the columns that a model finds on the stream."""
+    names = {f.name: f for f in SPEED_SCHEMA.fields}
+    schema = StructType([names[c] for c in dict.fromkeys(TRAINING_FEATURES + BATCH_FEATURES) if c in names])
+    return spark.createDataFrame([], schema)
+
+
 def _triggered(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
 
@@ -74,20 +89,23 @@ def start_speed_layer(
 ) -> StreamingQuery:
     """Run the speed layer over a stream with a ``value`` column.
 
-    ``trigger=None`` handles what is there and stops. Batches overwrite their own folder and the
-    checkpoint records what was handled, so a restart neither repeats nor loses a message.
+    ``trigger=None`` handles what is there and stops. A batch replaces its own manifest entry and the
+    checkpoint records what was handled, so a restart neither repeats nor loses a message. A model that cannot score such
+    messages is refused before the stream starts.
     """
+    validated(model, _model_inputs(messages.sparkSession))
     handle = batch_writer(messages.sparkSession, out, model, processed_time, after)
     writer = decode(messages).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return _triggered(writer.foreachBatch(handle), trigger).start()
 
 
-def start_ingest(messages: DataFrame, out: str, checkpoint: str, trigger: str | None = S.TRIGGER) -> StreamingQuery:
-    """Land decoded messages as Parquet, exactly once."""
+def start_ingest(messages: DataFrame, out: str, checkpoint: str, trigger: str | None = S.TRIGGER, name: str | None = None) -> StreamingQuery:
+    """Land decoded messages as Parquet, exactly once; the name is that of its progress reports."""
     writer = (
         decode(messages).writeStream.outputMode("append").format("parquet")
         .option("path", out).option("checkpointLocation", checkpoint)
     )
+    writer = writer.queryName(name) if name else writer
     return _triggered(writer, trigger).start()
 
 
