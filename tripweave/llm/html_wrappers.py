@@ -51,12 +51,25 @@ HIDE = "  hidden"
 #: Elements and words that mark the article.
 MAIN_TAGS = frozenset({"article", "main"})
 MAIN_WORDS = frozenset({"articlebody", "main"})
-#: Elements that do not end a block of text, elements without content, and elements whose end may be left out.
+#: Elements that do not end a block of text, and elements without content.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup "
     "time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-LOOSE = frozenset("p li dt dd tr td th thead tbody tfoot option".split())
+#: Elements that an opening element ends, and the elements beyond which it ends nothing.
+IMPLIED = {
+    "li": (frozenset({"li"}), frozenset("ul ol menu".split())),
+    "dt": (frozenset({"dt", "dd"}), frozenset({"dl"})), "dd": (frozenset({"dt", "dd"}), frozenset({"dl"})),
+    "td": (frozenset({"td", "th"}), frozenset({"tr", "table"})), "th": (frozenset({"td", "th"}), frozenset({"tr", "table"})),
+    "tr": (frozenset({"td", "th", "tr"}), frozenset("table thead tbody tfoot".split())),
+    **{t: (frozenset("td th tr thead tbody tfoot".split()), frozenset({"table"})) for t in ("thead", "tbody", "tfoot")},
+    "option": (frozenset({"option"}), frozenset("select datalist".split())),
+}
+#: Elements that end an open paragraph, and those beyond which they do not.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr li main menu nav ol p pre search section summary table ul dt dd".split())
+P_SCOPE = frozenset("button td th table caption object html".split())
 RAW = "script|style|textarea|title|noscript|template|iframe"
 
 TOKEN = re.compile(
@@ -81,36 +94,86 @@ def is_hidden(attrs: str) -> bool:
     return False
 
 
+def _ends_open(tag: str, stack: list[str]) -> int | None:
+    """How much of the open elements stays when ``tag`` opens: it may end what HTML lets go without an end tag."""
+    ended, within = IMPLIED.get(tag, (frozenset(), frozenset()))
+    if tag in ENDS_P:
+        ended, within = ended | {"p"}, within | P_SCOPE
+    keep = None
+    for k in range(len(stack) - 1, -1, -1):
+        if stack[k] in ended:
+            keep = k
+            if stack[k] == "p" and tag in ENDS_P and tag not in IMPLIED:
+                break
+        elif stack[k] in within:
+            break
+    return keep
+
+
+def _is_inline_aside(mark: str) -> bool:
+    return mark.endswith(HIDE) or not holds_page_text(mark) and bool(aside_names(mark) - {"header"})
+
+
 def tokens(page: str) -> list[Token]:
-    """Tags and blocks of text in order. Inline elements are part of the text; loose ends are left out."""
+    """Tags and blocks of text in order. Inline elements are part of the text, unless hidden or named as an aside.
+
+    Elements whose end may be left out end where HTML ends them, so streams are the same with and without the end tags; an
+    end tag without its element is left out, and one of an outer element ends those inside it.
+    """
     out: list[Token] = []
     words: list[str] = []
+    stack: list[str] = []
+    #: The inline aside that hides text now: its tag, how deep elements of that tag are nested in it, and the blocks open at its start.
+    hiding: list | None = None
 
     def flush() -> None:
         if text := " ".join(html.unescape("".join(words)).split()):
             out.append(("x", text))
         words.clear()
 
+    def close(keep: int) -> None:
+        nonlocal hiding
+        while len(stack) > keep:
+            out.append((">", stack.pop()))
+        if hiding and len(stack) < hiding[2]:
+            hiding = None
+
     for m in TOKEN.finditer(page):
         if (text := m["text"]) is not None:
-            words.append(text)
-        elif m["tag"]:
-            tag = m["tag"].lower()
-            if tag == "br":
+            if not hiding:
+                words.append(text)
+            continue
+        if not m["tag"]:
+            continue
+        tag, attrs = m["tag"].lower(), m["attrs"]
+        marks = " ".join(w for x in MARKS.findall(attrs) for w in "".join(x).lower().split()) if "=" in attrs else ""
+        mark = f"{tag} {marks}".strip() + (HIDE if attrs and HIDDEN.search(attrs) and is_hidden(attrs) else "")
+        empty = tag in VOID or attrs.rstrip().endswith("/")
+        if tag in INLINE:
+            if tag == "br" and not hiding:
                 words.append(" ")
-            if tag in INLINE:
-                continue
-            flush()
-            if m["end"]:
-                if tag not in LOOSE:
-                    out.append((">", tag))
-            else:
-                attrs = m["attrs"]
-                marks = " ".join(w for x in MARKS.findall(attrs) for w in "".join(x).lower().split()) if "=" in attrs else ""
-                hidden = HIDE if attrs and HIDDEN.search(attrs) and is_hidden(attrs) else ""
-                out.append(("<", f"{tag} {marks}".strip() + hidden))
-                if tag in VOID or attrs.rstrip().endswith("/"):
-                    out.pop()
+            if hiding and tag == hiding[0] and not empty:
+                hiding[1] += -1 if m["end"] else 1
+                if not hiding[1]:
+                    hiding = None
+            elif not hiding and not m["end"] and not empty and " " in mark and _is_inline_aside(mark):
+                hiding = [tag, 1, len(stack)]
+            continue
+        flush()
+        if m["end"]:
+            scope = P_SCOPE if tag == "p" else IMPLIED.get(tag, (None, frozenset()))[1]
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k] == tag:
+                    close(k)
+                    break
+                if stack[k] in scope:
+                    break
+        else:
+            if (keep := _ends_open(tag, stack)) is not None:
+                close(keep)
+            if not empty:
+                out.append(("<", mark))
+                stack.append(tag)
     flush()
     return out
 
@@ -122,8 +185,7 @@ def places(stream) -> Iterator[tuple[int, tuple[str, ...]]]:
         if kind == "x":
             yield i, tuple(stack)
         elif kind == "<":
-            if value.split(" ", 1)[0] not in LOOSE or " " in value:
-                stack.append(value)
+            stack.append(value)
         else:
             at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].split(" ", 1)[0] == value), None)
             if at is not None:
