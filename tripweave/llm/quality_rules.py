@@ -28,13 +28,20 @@ THRESHOLDS = 40
 FEATURES = ("log_words", "word_length", "symbol_rate", "repeat_rate", "dup_line_rate", "distinct_rate")
 
 
+def _twins(pairs: str) -> Column:
+    """The places ``i`` of sorted (g, i) whose ``g`` is also that of a neighbour."""
+    size = F.size(pairs)
+    both = F.zip_with(F.slice(pairs, F.lit(1), size - 1), F.slice(pairs, F.lit(2), size - 1), lambda a, b: F.when(a["g"] == b["g"], F.array(a["i"], b["i"])))
+    return F.when(size > 0, F.array_distinct(F.flatten(F.filter(both, lambda x: x.isNotNull()))))
+
+
 def with_stats(rows: DataFrame, text: str = "text") -> DataFrame:
     """The statistics beside the given columns; ``text`` must be free of nulls and is dropped.
 
     Java's ``\\s`` is just the six characters of white space that separate words.
 
-    Repeated three-word windows are found per row: window hashes are sorted with their position and
-    equal neighbours taken. Rows without a repeated hash, the most, skip the sort.
+    Repeated three-word windows are found per row: window hashes are sorted with their position, equal neighbours taken, and
+    the words of these compared in the same way. Rows without a repeated hash, the most, skip the sorts.
     """
     kept = [c for c in rows.columns if c != text]
     t = F.col(text)
@@ -51,15 +58,14 @@ def with_stats(rows: DataFrame, text: str = "text") -> DataFrame:
         *kept, F.length(F.array_join("_words", "")).cast("long").alias("word_chars"), "n_symbols", n.cast("long").alias("n_words"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size("_lines").cast("long").alias("n_lines"), F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
-        hashes.alias("_hashes"))
+        hashes.alias("_hashes"), "_words")
     step = step.withColumn("_sorted", F.when(
         F.size(F.array_distinct("_hashes")) < F.size("_hashes"),
-        F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    size = F.size("_sorted")
-    twins = F.flatten(F.filter(
-        F.zip_with(F.slice("_sorted", F.lit(1), size - 1), F.slice("_sorted", F.lit(2), size - 1),
-                   lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"]))), lambda x: x.isNotNull()))
-    step = step.withColumn("_starts", F.when(F.col("_sorted").isNotNull(), F.sort_array(F.array_distinct(twins))))
+        F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("g"), i.alias("i"))))))
+    # Windows of equal hash are compared by their words; words hold no blank.
+    window = lambda i: F.concat_ws(" ", *[F.element_at("_words", i + k) for k in range(1, WINDOW + 1)])
+    step = step.withColumn("_sorted", F.sort_array(F.transform(_twins("_sorted"), lambda i: F.struct(window(i).alias("g"), i.alias("i")))))
+    step = step.withColumn("_starts", F.sort_array(_twins("_sorted")))
     starts = F.size("_starts")
     covered = WINDOW + F.aggregate(
         F.zip_with(F.slice("_starts", F.lit(1), starts - 1), F.slice("_starts", F.lit(2), starts - 1),
@@ -154,7 +160,8 @@ def learn(docs: DataFrame, labels: DataFrame, most_rules: int = 8, most_conditio
     scratch = Scratch(spark, "quality")
     stats = labelled(docs, labels, rows).select(
         *[feature(f).alias(f) for f in FEATURES], "bad", (F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(3)) < 2).alias("grow"))
-    stats = scratch.keep(stats.coalesce(8), "labelled")
+    # At most ``rows`` small rows; dealing them out anew leaves the scan and the join their own tasks.
+    stats = scratch.keep(stats.repartition(8), "labelled")
     cuts = stats.agg(*[F.expr(f"percentile({f}, array({', '.join(str(i / THRESHOLDS) for i in range(1, THRESHOLDS))}))").alias(f)
                        for f in FEATURES]).first()
     if cuts[0] is None:

@@ -63,24 +63,41 @@ def _may_run(text: Column) -> Column:
     return text.rlike(r"\s\S{20}") | text.rlike(r"^\S{20}")
 
 
+#: Hits whose offsets are summed in one go; an array that grows by each hit of a text would be copied for each.
+TOGETHER = 256
+_SPANS = "array<struct<start:int,end:int,hit:string>>"
+
+
 def _hits(text: Column, pattern: str, may: Column) -> Column:
     """Matches with their code point positions: the pieces between the matches give the offsets.
 
-    ``may`` is a cheap necessary condition; most texts are done with it.
+    ``may`` is a cheap necessary condition; most texts are done with it. Offsets are summed within groups of ``TOGETHER`` hits first and
+    then over the groups.
     """
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda hit, gap: F.struct(gap.alias("gap"), hit.alias("hit")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<start:int,end:int,hit:string>>)").alias("out"))
+    pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda hit, gap: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
+    start = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS {_SPANS})").alias("out"))
 
     def step(acc, pair):
-        first = acc["at"] + F.length(pair["gap"])
+        first = acc["at"] + pair["gap"]
         last = first + F.length(pair["hit"])
         return F.struct(last.alias("at"), F.concat(acc["out"], F.array(F.struct(first.alias("start"), last.alias("end"), pair["hit"].alias("hit")))).alias("out"))
 
-    folded = F.aggregate(pairs, start, step, lambda acc: acc["out"])
-    none = F.expr("CAST(array() AS array<struct<start:int,end:int,hit:string>>)")
-    return F.when(may & text.rlike(pattern), folded).otherwise(none)
+    def shift(acc, group):
+        moved = F.transform(group["out"], lambda x: F.struct((x["start"] + acc["at"]).alias("start"), (x["end"] + acc["at"]).alias("end"), x["hit"].alias("hit")))
+        return F.struct((acc["at"] + group["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    whole = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS array<{_SPANS}>)").alias("out"))
+
+    def spans(all_pairs):
+        begins = F.sequence(F.lit(1), F.greatest(F.size(all_pairs), F.lit(1)), F.lit(TOGETHER))
+        summed = F.transform(begins, lambda i: F.aggregate(F.slice(all_pairs, i, F.lit(TOGETHER)), start, step))
+        return F.flatten(F.aggregate(summed, whole, shift, lambda acc: acc["out"]))
+
+    # A variable of a lambda is worked out once; written out, the matches would be looked for again for each group.
+    folded = F.element_at(F.transform(F.array(pairs), spans), 1)
+    return F.when(may & text.rlike(pattern), folded).otherwise(F.expr(f"CAST(array() AS {_SPANS})"))
 
 
 def base_spans(text: Column) -> tuple[Column, Column, Column]:
@@ -207,6 +224,23 @@ def _written(spans: Column) -> Column:
         ":", F.element_at(F.array(*[F.lit(k) for k in KINDS]), x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))))
 
 
+def _places(spans: Column) -> Column:
+    """Start and end of each span as one number, which set operations on arrays hash."""
+    return F.transform(spans, lambda x: F.shiftleft(x["start"].cast("long"), 31) + x["end"])
+
+
+def _inside(assign: Column) -> Column:
+    """The places of tokens that lie in the spans of assignments.
+
+    A token is a whole run of its characters. One that the span cuts has another place in the text than within the span and is not inside.
+    Keys and hexadecimal spans are made of these characters, so only a token that is the whole span lies in one.
+    """
+    runs = F.transform(assign, lambda x: F.transform(
+        _hits(x["hit"], CANDIDATE, F.length(x["hit"]) >= 20),
+        lambda r: F.shiftleft((x["start"] + r["start"]).cast("long"), 31) + (x["start"] + r["end"])))
+    return F.flatten(runs)
+
+
 def scan_secrets(docs: DataFrame, clear_rate: float = 0.01) -> DataFrame:
     """One row per input row: doc_id, the spans of each kind, counts and their digest.
 
@@ -217,19 +251,18 @@ def scan_secrets(docs: DataFrame, clear_rate: float = 0.01) -> DataFrame:
     cuts = cleared_bins(docs, clear_rate)
     rows = docs.select(F.col("doc_id"), text_of().alias("text"))
     assign, access, hexes = base_spans(F.col("text"))
+    # Each step is worked out once, however often the next ones use it.
+    rows = computed_once(rows, F.col("doc_id"), assign.alias("assign"), access.alias("access"), hexes.alias("hex"), _tested(F.col("text")).alias("tested"))
     tagged = lambda spans, kind: F.transform(spans, lambda x: F.struct(
         x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
-    rows = rows.select(
-        "doc_id", tagged(assign, 0).alias("assign"), tagged(access, 1).alias("access"), tagged(hexes, 2).alias("hex"),
-        _tested(F.col("text")).alias("tested"))
-    rows = rows.withColumn("base", F.sort_array(F.concat("assign", "access", "hex")))
     unexplained = F.filter("tested", lambda t: t["long_enough"] & (t["bin"] < F.element_at(
         F.array(*[F.lit(c) for c in cuts]), t["class"] + 1)))
-    outside = F.filter(unexplained, lambda t: ~F.exists(
-        "base", lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])))
-    rows = rows.withColumn("random", tagged(outside, 3))
+    random = F.transform(F.array_except(_places(unexplained), F.concat(_places(F.col("access")), _places(F.col("hex")), _inside(F.col("assign")))), lambda p: F.struct(
+        F.shiftright(p, 31).cast("int").alias("start"), F.lit(3).alias("kind"), p.bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("end")))
+    rows = computed_once(
+        rows, F.col("doc_id"), *[F.size(c).cast("long").alias(f"n_{c}") for c in ("assign", "access", "hex")],
+        F.sort_array(F.concat(tagged("assign", 0), tagged("access", 1), tagged("hex", 2))).alias("base"), random.alias("random"))
     return computed_once(
-        rows, F.col("doc_id"), F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
-        F.size("hex").cast("long").alias("n_hex"), F.size("random").cast("long").alias("n_random"),
+        rows, F.col("doc_id"), F.col("n_assign"), F.col("n_access"), F.col("n_hex"), F.size("random").cast("long").alias("n_random"),
         F.sha2(_written(F.col("base")), 256).alias("base_sha256"),
         F.when(F.size("random") > 0, _written(F.sort_array(F.concat("base", "random")))).otherwise(_written(F.col("base"))).alias("spans"))
