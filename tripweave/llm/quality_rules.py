@@ -31,7 +31,8 @@ FEATURES = ("log_words", "word_length", "symbol_rate", "repeat_rate", "dup_line_
 def _twins(pairs: str) -> Column:
     """The places ``i`` of sorted (g, i) whose ``g`` is also that of a neighbour."""
     size = F.size(pairs)
-    both = F.zip_with(F.slice(pairs, F.lit(1), size - 1), F.slice(pairs, F.lit(2), size - 1), lambda a, b: F.when(a["g"] == b["g"], F.array(a["i"], b["i"])))
+    rest = F.greatest(size - 1, F.lit(0))
+    both = F.zip_with(F.slice(pairs, F.lit(1), rest), F.slice(pairs, F.lit(2), rest), lambda a, b: F.when(a["g"] == b["g"], F.array(a["i"], b["i"])))
     return F.when(size > 0, F.array_distinct(F.flatten(F.filter(both, lambda x: x.isNotNull()))))
 
 
@@ -66,10 +67,10 @@ def with_stats(rows: DataFrame, text: str = "text") -> DataFrame:
     window = lambda i: F.concat_ws(" ", *[F.element_at("_words", i + k) for k in range(1, WINDOW + 1)])
     step = step.withColumn("_sorted", F.sort_array(F.transform(_twins("_sorted"), lambda i: F.struct(window(i).alias("g"), i.alias("i")))))
     step = step.withColumn("_starts", F.sort_array(_twins("_sorted")))
-    starts = F.size("_starts")
-    covered = WINDOW + F.aggregate(
-        F.zip_with(F.slice("_starts", F.lit(1), starts - 1), F.slice("_starts", F.lit(2), starts - 1),
-                   lambda a, b: F.least(F.lit(WINDOW), b - a)), F.lit(0), lambda acc, x: acc + x)
+    rest = F.greatest(F.size("_starts") - 1, F.lit(0))
+    covered = F.when(F.size("_starts") > 0, WINDOW + F.aggregate(
+        F.zip_with(F.slice("_starts", F.lit(1), rest), F.slice("_starts", F.lit(2), rest),
+                   lambda a, b: F.least(F.lit(WINDOW), b - a)), F.lit(0), lambda acc, x: acc + x))
     return step.select(
         *kept, "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), "n_lines", "n_distinct")
