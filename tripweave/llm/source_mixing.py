@@ -4,8 +4,9 @@ Each source is a stream of words in a fixed order of its documents, cut into blo
 number of blocks a source gives is set by its target; each is thrown at an output shard, which makes the counts of a source
 over the shards a multinomial draw. The slots of a source are numbered through, and a
 keyed pseudorandom permutation of its block numbers (a Feistel network, walked until it falls inside the range) says
-which block fills which slot. A second pass over a source uses another permutation. So no shuffle of
-texts decides the mix: slots and blocks meet by (source, block number), which spreads any hot source.
+which block fills which slot. A second pass over a source uses another permutation. Slots and blocks meet by
+(source, block number), which spreads any hot source. ``packed_blocks`` gives the mix itself, the texts of the blocks of each
+shard; ``taken_words`` counts the same slots by document without moving texts.
 """
 
 from __future__ import annotations
@@ -74,14 +75,14 @@ def feistel(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _placed(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Every row with its words' place in the stream of its source, and the sources with their blocks.
+def _placed(docs: DataFrame, scratch: Scratch, *carried: str) -> tuple[DataFrame, DataFrame]:
+    """Every row with its words' place in the stream of its source, and the sources with their blocks. ``carried`` columns stay beside it.
 
     The order of a source is by hash group and then by id, so a hot source is summed up in many tasks;
     only the totals of groups are summed in one window, a row per ``GROUP_DOCS`` documents.
     """
     sized = scratch.keep(docs.select(
-        F.col("doc_id"), F.col("source"), F.xxhash64("text").alias("mark"), word_count(text_of()).alias("size")), "sizes")
+        F.col("doc_id"), F.col("source"), F.xxhash64("text").alias("mark"), word_count(text_of()).alias("size"), *carried), "sizes")
     goals = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), scratch)
     goals = goals.withColumns({
         "words": F.greatest(F.lit(1), F.least(F.lit(BLOCK_WORDS), F.floor(F.col("source_size") / LEAST_BLOCKS))).cast("long"),
@@ -100,7 +101,7 @@ def _placed(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     rows = rows.withColumns({
         "nth": F.row_number().over(within),
         "inner": F.sum("size").over(within.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")})
-    rows = scratch.keep(rows.select("doc_id", "mark", "code", "group", "nth", "inner", "size"), "rows")
+    rows = scratch.keep(rows.select("doc_id", "mark", "code", "group", "nth", "inner", "size", *carried), "rows")
     totals = rows.groupBy("code", "group").agg(F.sum("size").alias("total"))
     base = totals.select("code", "group", (F.sum("total").over(
         W.partitionBy("code").orderBy("group").rowsBetween(W.unboundedPreceding, 0)) - F.col("total")).alias("base"))
@@ -132,44 +133,76 @@ def slots(goals: DataFrame, seed: int = 0) -> DataFrame:
     return one.mapInPandas(permuted, "code long, slot long, shard long, block long")
 
 
-def pieces(placed: DataFrame, goals: DataFrame) -> DataFrame:
-    """Every document cut at the block ends of its source: (code, block, row, first word, words)."""
+def pieces(placed: DataFrame, goals: DataFrame, *carried: str) -> DataFrame:
+    """Every document cut at the block ends of its source: (code, block, row, place in the block, first word, words)."""
     cut = placed.where("size > 0").join(small_side(goals.select("code", "words"), goals.count()), "code")
     first = F.floor(F.col("start") / F.col("words"))
     last = F.floor((F.col("start") + F.col("size") - 1) / F.col("words"))
     cut = cut.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("start"), F.col("block") * F.col("words"))
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("words"))
-    return cut.select("code", "block", "group", "nth", (begin - F.col("start")).alias("first"), (end - begin).alias("n"))
+    return cut.select("code", "block", "group", "nth", begin.alias("at"), (begin - F.col("start")).alias("first"), (end - begin).alias("n"), *carried)
 
 
-def mix(docs: DataFrame, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The rows placed in their sources, the sources with targets, and the mix: (shard, slot, code, block)."""
+def mix(docs: DataFrame, seed: int = 0, *carried: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows placed in their sources, the sources with targets, and the mix as a list: (code, slot, shard, block)."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    placed, goals = _placed(docs, scratch)
+    placed, goals = _placed(docs, scratch, *carried)
     return placed, goals, slots(goals, seed)
 
 
+def packed_blocks(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """The mix itself: shard, source, slot, block, ``n_words`` and ``text``, the block's words joined by one space.
+
+    One row for each slot; a shard's rows are its output. Blocks of a source all have the same number of words but the last. Rows as in
+    ``taken_words``; an empty table gives no blocks.
+    """
+    words = F.array_remove(F.split(text_of(), r"\s+"), "")
+    placed, goals, chosen = mix(docs.select("doc_id", "source", "text"), seed, "text")
+    # Texts are cut into words once; a piece holds the words of one block.
+    cut = pieces(placed.withColumn("text", words), goals, "text").select(
+        "code", "block", "at", "n", F.slice("text", (F.col("first") + 1).cast("int"), F.col("n").cast("int")).alias("words"))
+    blocks = cut.groupBy("code", "block").agg(
+        F.sum("n").alias("n_words"), F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])), " ").alias("text"))
+    named = small_side(goals.select("code", "source"), goals.count())
+    return chosen.hint("merge").join(blocks, ["code", "block"]).join(named, "code").select("shard", "source", "slot", "block", "n_words", "text")
+
+
 def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """One row per input row: doc_id, size, source_size, target and ``taken``, the words the mix takes of it.
+    """One row per input row: doc_id, size, source_size, target, ``taken``, the words the mix takes of it, and ``n_shards`` they go to.
 
     A null text has no words and a null source is a source, the last. Equal rows are placed one after the
     other, each by itself; an empty table gives an empty result. No row is taken more than twice.
     """
     placed, goals, chosen = mix(docs, seed)
-    uses = chosen.groupBy("code", "block").agg(F.count("*").alias("uses"))
     # Slots unfold from a table of one row per source, so their estimated size is far too small to plan a broadcast by.
-    taken = pieces(placed, goals).join(uses.hint("merge"), ["code", "block"]).groupBy("code", "group", "nth").agg(
-        F.sum(F.col("n") * F.col("uses")).alias("taken"))
+    taken = pieces(placed, goals).join(chosen.hint("merge"), ["code", "block"]).groupBy("code", "group", "nth").agg(
+        F.sum("n").alias("taken"), F.size(F.collect_set("shard")).cast("long").alias("n_shards"))
+    zero = F.lit(0).cast("long")
     return placed.join(taken, ["code", "group", "nth"], "left").join(
         small_side(goals.select("code", "source_size", "target"), goals.count()), "code").select(
-        "doc_id", "mark", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "mark", "size", "source_size", "target", F.coalesce("taken", zero).alias("taken"), F.coalesce("n_shards", zero).alias("n_shards"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """The documents the mix takes words of, with their columns and ``taken``."""
-    found = taken_words(docs, seed).where("taken > 0").groupBy(
-        F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "mark").agg(F.max("taken").alias("taken"))
+    """The documents the mix takes words of, with their columns and ``taken`` (``taken_by_mix`` where they have a column of that name).
+
+    Rows of one id and text each get the words taken of one of them. An empty table gives an empty result.
+    """
+    name = "taken_by_mix" if "taken" in docs.columns else "taken"
+    key = ["id", "none", "mark"]
+    found = taken_words(docs, seed).select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "mark", "taken")
+    found = Scratch(docs.sparkSession, "mixed").keep(found, "taken")
     rows = apart(docs, F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("mark"))
-    kept = rows.join(found, ["id", "none", "mark"]).select("row", "text", "taken")
-    return kept.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c != "taken"], "taken")
+    often = found.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
+    n = often.count()
+    if not n:
+        kept = rows.join(found.where("taken > 0"), key)
+    else:
+        # Equal rows are numbered on both sides; all others need no number.
+        once = rows.join(small_side(often, n), key, "left_anti").withColumn("nth", F.lit(1))
+        again = rows.join(small_side(often, n), key, "left_semi")
+        again = again.withColumn("nth", F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64("row"))))
+        numbered = found.withColumn("nth", F.row_number().over(W.partitionBy(*key).orderBy("taken")))
+        kept = once.union(again).join(numbered.where("taken > 0"), [*key, "nth"])
+    return kept.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns], F.col("taken").alias(name))
