@@ -166,7 +166,7 @@ events AS (
   UNION ALL SELECT value, 'block', day, true FROM hosts
   UNION ALL SELECT value, 'block', day + 100, false FROM hosts WHERE length(value) % 2 = 0),
 dated AS (
-  SELECT value, verdict, day, added, coalesce(lead(day) OVER (PARTITION BY value ORDER BY day, added, verdict), DATE '9999-12-31') AS ended
+  SELECT value, verdict, day, added, coalesce(lead(day) OVER (PARTITION BY value, verdict ORDER BY day, added), DATE '9999-12-31') AS ended
   FROM events),
 entries AS (SELECT value, verdict, day AS begun, ended FROM dated WHERE added AND day < ended),
 parts AS (

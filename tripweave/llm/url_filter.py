@@ -11,21 +11,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import Scratch, small_side
+from tripweave.llm.common import Scratch
 
 #: Fixed value: the end of an interval that nothing ended.
 OPEN = "9999-12-31"
+#: Bytes of entries that may be broadcast, and of one entry beside its value.
+BROADCAST_BYTES, ENTRY_BYTES = 16 << 20, 64
 
 
 def validity(events: DataFrame) -> DataFrame:
     """(value, verdict, begin, end) from events (value, verdict, day, added), the end exclusive.
 
-    Events of one value are taken in order of time; on one day the removal comes first. An event ends what held before, so
-    adding an entry twice renews it, and a removal of what is not there does nothing. Rows with a null are no events.
+    A value may hold a blocking and an allowing entry at once; each is added and removed by itself. Events of one entry are taken in order of
+    time, at one time the removal first. An event ends what held of that entry before, so adding it twice renews it, and a removal
+    of what is not there does nothing. Times are kept as they are; a date is its midnight. Rows with a null are no events.
     """
-    own = W.partitionBy("value").orderBy("day", "added", "verdict")
-    known = events.select("value", "verdict", F.col("day").cast("date").alias("day"), "added").dropna()
-    dated = known.withColumn("end", F.coalesce(F.lead("day").over(own), F.lit(OPEN).cast("date")))
+    own = W.partitionBy("value", "verdict").orderBy("day", "added")
+    known = events.select("value", "verdict", F.col("day").cast("timestamp").alias("day"), "added").dropna()
+    dated = known.withColumn("end", F.coalesce(F.lead("day").over(own), F.lit(OPEN).cast("timestamp")))
     return dated.where(F.col("added") & (F.col("day") < F.col("end"))).select("value", "verdict", F.col("day").alias("begin"), "end")
 
 
@@ -50,15 +53,17 @@ def judge_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """One row per input row of ``captures`` (page_id, url, fetched): n_active, decided_by and ``blocked``.
 
     ``entries`` are intervals as of ``validity``. A null or empty url has no keys, and a null time meets no interval: neither is blocked.
-    Equal rows are judged alike, each by itself; other columns are not read.
+    Equal rows are judged alike, each by itself; other columns are not read. Without entries nothing is blocked, and no captures
+    give no rows.
     """
     scratch = Scratch(captures.sparkSession, "urls")
-    # Each distinct (url, day) is judged once, so copies of a capture, however many, do not load the join.
-    seen = captures.select("page_id", "url", F.col("fetched").cast("date").alias("fetched"))
+    # Each distinct (url, time) is judged once, so copies of a capture, however many, do not load the join.
+    seen = captures.select("page_id", "url", F.col("fetched").cast("timestamp").alias("fetched"))
     distinct = seen.select("url", "fetched").where(F.col("url").isNotNull() & F.col("fetched").isNotNull()).distinct()
     asked = distinct.select("url", "fetched", F.explode(keys_of(F.col("url"))).alias("value"))
     entries = scratch.keep(entries, "entries")
-    active = asked.join(small_side(entries, entries.count()), "value").where(
+    size = entries.agg(F.sum(F.octet_length("value") + ENTRY_BYTES)).first()[0] or 0
+    active = asked.join(F.broadcast(entries) if size <= BROADCAST_BYTES else entries, "value").where(
         (F.col("begin") <= F.col("fetched")) & (F.col("fetched") < F.col("end")))
     found = active.groupBy("url", "fetched").agg(
         F.count("*").alias("n_active"),
