@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripweave.functions.rows import taken, the_row
 from tripweave.functions.trip import with_trip_features
 from tripweave.operators.filters import training_rows
+from tripweave.operators.neural import fit_network
 from tripweave.operators.scoring import regression_metrics
 from tripweave.operators.statistics import fill_with, medians
 from tripweave.schemas import BATCH_FEATURES, TRAINING_FEATURES
@@ -152,6 +153,17 @@ def train_linear(trips: DataFrame) -> Trained:
     return fit_model(train, test, linear(), "LinearRegression", "linear", scaled=True)
 
 
+def fit_neural(train: DataFrame, test: DataFrame, **options) -> Trained:
+    model = fit_network(train, TRAINING_FEATURES, LABEL, **options)
+    params = {"hidden": str(model.shape[1:-1]), "passes": str(len(model.losses))} | {k: str(v) for k, v in options.items()}
+    return Trained("NeuralNetwork", "mlp", model, TRAINING_FEATURES, params, taken(evaluate(model, test)))
+
+
+def train_neural(trips: DataFrame, **options) -> Trained:
+    """The neural model on nine scaled features, trained in passes over mini-batches."""
+    return fit_neural(*_prepared(trips), **options)
+
+
 def train_all(trips: DataFrame, trees: int = 100, depth: int = 8) -> list[Trained]:
     """All candidate models on one split of one prepared table."""
     train, test = _prepared(trips)

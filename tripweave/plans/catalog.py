@@ -723,6 +723,14 @@ def train_linear(spark, sf_dir):
     return facts.withColumns({"name": F.lit(trained.name), "type": F.lit(trained.kind), **zeros})
 
 
+@query
+def train_neural(spark, sf_dir):
+    """Four hidden layers; figures on unseen rows, and whether it follows the rows of the fit more closely than their line."""
+    train, test = training.train_test_split(training.training_features(fx.trips(spark, sf_dir)))
+    trained = training.fit_neural(train, test)
+    return _fit_facts(trained.summary().withColumn("beats_line", _beats_line(trained.model, train)), "name", "type", "beats_line")
+
+
 @query
 def model_leaderboard(spark, sf_dir):
     board = training.leaderboard(training.train_all(fx.trips(spark, sf_dir)))

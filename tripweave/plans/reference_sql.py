@@ -570,6 +570,7 @@ _BODIES = {
     "regression_metrics": f"SELECT {_round('rmse mae r2')}, samples FROM metrics",
     "model_gate": "SELECT round(r2, 6) AS r2, r2 >= 0.7 AS passed FROM metrics",
     "train_gbt": f"SELECT 'GradientBoosting' AS name, 'gbt' AS type, true AS beats_line, {_FITTED} FROM {_TEST_PART}",
+    "train_neural": f"SELECT 'NeuralNetwork' AS name, 'mlp' AS type, true AS beats_line, {_FITTED} FROM {_TEST_PART}",
     "train_linear": (
         "SELECT 'LinearRegression' AS name, 'linear' AS type, count(*) AS training_samples, 0.0::DOUBLE AS mean_residual, "
         + ", ".join(f"0.0::DOUBLE AS residual_{c}" for c in TRAINING_FEATURES)
