@@ -53,19 +53,20 @@ def run_batch(
 ) -> BatchRun:
     """Validate, clean, store, summarise, train or evaluate, reconcile and report.
 
-    The raw table is read once: the pass that stores the cleaned trips also counts what validation asks of the raw ones. If
-    the gate stops the run, the stored rows are of a run without master data or views, and the next run of that date replaces them.
+    The raw table is read once: the pass that stages the cleaned trips also counts what validation asks of the raw ones. They take
+    their place only once the gate has passed.
     Master data, views and training each scan only their own columns of the stored table, which survives the loss of any executor.
     """
     spark: SparkSession = raw.sparkSession
     require_columns(raw)
     counted = quality.ObservedFacts(raw)
     paths = {"cleaned": f"{base}/cleaned/run_date={run_date}"}
-    trips.write_trips(with_trip_features(clean_rows(counted.trips)), paths["cleaned"])
+    staged = trips.write_trips(with_trip_features(clean_rows(counted.trips)), f"{base}/staged/run_date={run_date}")
     facts = counted.frame()
     if not quality.quality_gate(facts, quality_threshold).first().passed:
+        trips.discard(spark, staged)
         raise GateFailed("data quality is below the threshold")
-
+    trips.publish(spark, staged, paths["cleaned"])
     clean = spark.read.parquet(paths["cleaned"])
 
     paths["master"] = master.write_master(master.master_full(clean, run_date), f"{base}/master", master_format)

@@ -58,3 +58,20 @@ def write_trips(trips: DataFrame, path: str, fmt: str = "parquet") -> str:
     options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"} if fmt == "csv" else {}
     trips.write.mode("overwrite").format(fmt).options(**options).save(path)
     return path
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> str:
+    """Move a staged folder to its place, in place of what is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(at, True)
+    fs.mkdirs(at.getParent())
+    if not fs.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged), at):
+        raise OSError(f"{staged} could not be moved to {path}")
+    return path
+
+
+def discard(spark: SparkSession, staged: str) -> None:
+    """Delete a staged folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
