@@ -153,11 +153,28 @@ def test_quality_list_is_learned(spark):
 def test_bloom_filters_tell_second_sights():
     rng = np.random.default_rng(3)
     hashes = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
-    stream = [*np.array_split(hashes, 7), hashes[:900], hashes[:50]]
+    stream = [(x, np.zeros(len(x), bool)) for x in (*np.array_split(hashes, 7), hashes[:900], hashes[:50])]
     told = np.concatenate(list(line_dedup.second_sights(iter(stream), 400)))
     assert len(set(told.tolist())) == len(told) and set(hashes[:900].tolist()) <= set(told.tolist())
     exact = np.concatenate(list(line_dedup.second_sights(iter(stream), 100_000)))
     assert set(exact.tolist()) == set(hashes[:900].tolist())
+    # Hashes that a task met twice are told although they come once, and once only.
+    marked = [(hashes[:100], np.arange(100) < 40), (hashes[20:60], np.arange(40) % 2 == 0)]
+    told = np.concatenate(list(line_dedup.second_sights(iter(marked), 100_000)))
+    assert sorted(told.tolist()) == sorted(hashes[:60].tolist())
+
+
+@pytest.mark.parametrize("limit", [1, 7, 1000])
+def test_hashes_are_combined_before_they_are_sent(limit):
+    rng = np.random.default_rng(5)
+    batches = [rng.integers(0, 30, int(n)).astype(np.uint64) for n in rng.integers(0, 20, 12)]
+    sent = list(line_dedup.combined(iter(batches), limit))
+    assert all(len(np.unique(h)) == len(h) for h, _ in sent)
+    seen = Counter(x for batch in batches for x in batch.tolist())
+    met = Counter(x for h, marks in sent for x in h[marks].tolist())
+    came = Counter(x for h, _ in sent for x in h.tolist())
+    assert set(seen) == set(came)
+    assert {x for x, n in seen.items() if n > 1} == {x for x in came if came[x] > 1 or met[x]}
 
 
 def test_masks_cover_every_pair_within_the_radius():

@@ -10,17 +10,18 @@ together, as one array, so the tables are consulted at array speed while each cu
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import apart, beside_row, text_of, together
+from tripweave.llm.common import Scratch, apart, beside_row, partitions_for, text_of, together
 
 WINDOW = 10
-#: Bytes of benchmark text whose tables go to the tasks at once; a larger benchmark takes several passes.
-PASS_BYTES = 16 << 20
+#: Bytes of benchmark text whose tables a worker holds at once; a larger benchmark takes several passes.
+PASS_BYTES = 4 << 20
 #: Bytes a block of the shift table covers at most, and the bits of its hash.
 BLOCK, HASH_BITS = 8, 20
 #: Bytes of text searched at once, and bytes of it that one cursor walks.
@@ -108,29 +109,34 @@ class WuManber:
 class Benchmark:
     """The patterns of some items, with the items each belongs to; one search table for full windows and one for short items."""
 
-    def __init__(self, items: list[tuple[object, str]], window: int):
-        owners: dict[bytes, set] = {}
+    def __init__(self, items: list[tuple[str, str]], window: int):
+        owners: dict[bytes, tuple[str, ...]] = {}
         for item, text in items:
+            alone = (item,)  # one object for all patterns that this item alone has
             for pattern in windows_of(words_of(text), window):
-                owners.setdefault(pattern, set()).add(item)
-        full = [p for p in sorted(owners) if p.count(b" ") == window + 1]
-        short = [p for p in sorted(owners) if p.count(b" ") <= window]
-        self.owners = owners
-        self.tables = [WuManber(ps) for ps in (full, short) if ps]
-
-    def hits(self, texts: list[bytes]) -> list[list[tuple[int, bytes]]]:
-        """Occurrences in each text as (position, pattern). Texts are padded with spaces and follow each other after a line end."""
+                had = owners.get(pattern)
+                if had is None:
+                    owners[pattern] = alone
+                elif item not in had:
+                    owners[pattern] = (*had, item)
+        full = sorted(p for p in owners if p.count(b" ") == window + 1)
+        short = sorted(p for p in owners if p.count(b" ") <= window)
+        #: Each table with the items of its patterns, by pattern number.
+        self.tables = [(WuManber(ps), [owners[p] for p in ps]) for ps in (full, short) if ps]
+
+    def hits(self, texts: list[bytes]) -> list[list[tuple[int, int, tuple[str, ...]]]]:
+        """Occurrences in each text as (position, words, items). Texts are padded with spaces and follow each other after a line end."""
         out: list[list] = [[] for _ in texts]
         begin = np.cumsum([0] + [len(t) + 1 for t in texts])
         joined = b"\n".join(texts)
-        for table in self.tables:
+        for table, owners in self.tables:
             for at, p in table.search(joined):
                 k = int(np.searchsorted(begin, at, side="right")) - 1
-                out[k].append((at - int(begin[k]), table.patterns[p]))
+                out[k].append((at - int(begin[k]), table.patterns[p].count(b" ") - 1, owners[p]))
         return out
 
 
-def _judge(texts: list[str | None], benchmark: Benchmark) -> list[tuple[int, list[tuple[int, int]], list]]:
+def _judge(texts: list[str | None], benchmark: Benchmark) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
     """(words, spans of hit words, items) of each text."""
     out = []
     for first in _slices([len(t or "") for t in texts]):
@@ -138,10 +144,10 @@ def _judge(texts: list[str | None], benchmark: Benchmark) -> list[tuple[int, lis
         padded = [b" " + b" ".join(w) + b" " for w in part]
         for words, text, found in zip(part, padded, benchmark.hits(padded)):
             spans, items = [], set()
-            for at, pattern in found:
+            for at, n, own in found:
                 # The spaces up to a match, its own first one included, number its first word.
-                spans.append((at, pattern.count(b" ") - 1))
-                items |= benchmark.owners[pattern]
+                spans.append((at, n))
+                items.update(own)
             if spans:
                 spaces = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
                 spans = sorted({(int(np.searchsorted(spaces, at)), n) for at, n in spans})
@@ -168,18 +174,20 @@ def _covered(spans) -> int:
     return total
 
 
-def _passes(benchmark: DataFrame, limit: int) -> list[list[tuple[object, str]]]:
-    """The items in groups of at most ``limit`` bytes. The benchmark is the stated query set: it is read once
-    by the driver, group after group, and no group is larger than the limit but for a single larger item."""
-    groups, size = [[]], 0
-    for r in benchmark.select(F.col("item_id"), text_of().alias("text")).orderBy("item_id", "text").toLocalIterator():
+def _passes(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, str]]]:
+    """The items in groups of at most ``limit`` bytes, but for a single larger item. The benchmark is the stated query set. The
+    driver fetches it part by part as the passes ask for them, and holds one group and one part at a time."""
+    parts = partitions_for(benchmark.sparkSession, benchmark.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0, limit)
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), text_of().alias("text"))
+    group, size = [], 0
+    for r in rows.repartitionByRange(parts, "item_id", "text").sortWithinPartitions("item_id", "text").toLocalIterator():
         n = len(r["text"].encode())
         if size and size + n > limit:
-            groups.append([])
-            size = 0
-        groups[-1].append((r["item_id"], r["text"]))
+            yield group
+            group, size = [], 0
+        group.append((str(r["item_id"]), r["text"]))
         size += n
-    return groups
+    yield group
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pass_bytes: int = PASS_BYTES) -> DataFrame:
@@ -187,18 +195,28 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     A window is ``window`` consecutive words of an item, or the whole item if it has fewer, but not none. Null
     and empty texts have no words. Repeated rows and ids are rows like others; an empty benchmark hits nothing.
-    Each pass over the documents holds the tables of at most ``pass_bytes`` of benchmark text.
+    A pass over the documents holds the tables of at most ``pass_bytes`` of benchmark text. Where more than one is needed, each but the last is
+    written to the shared folder and its tables are given up before the next.
     """
     spark = docs.sparkSession
+    scratch = Scratch(spark, "contamination")
     rows = apart(docs, F.lit(0).cast("long").alias("n_words"), F.expr("CAST(array() AS array<struct<first:int,n:int>>)").alias("spans"),
                  F.expr("CAST(array() AS array<string>)").alias("items"))
     schema = beside_row(rows, "text string, n_words long, spans array<struct<first:int,n:int>>, items array<string>")
-    groups = _passes(benchmark, pass_bytes)
-    for group in groups:
-        tables = spark.sparkContext.broadcast(group)  # bounded by pass_bytes
+    held = None
+    for nth, group in enumerate(_passes(benchmark, pass_bytes)):
+        if held is not None:
+            kept = scratch.keep(rows, f"pass{nth}")
+            held.unpersist(blocking=True)
+            scratch.release(f"pass{nth - 1}")
+            rows = kept
+        tables = held = spark.sparkContext.broadcast({"items": group})  # bounded by pass_bytes
 
         def search(batches, tables=tables):
-            own = Benchmark([(str(i), t) for i, t in tables.value], window)
+            # The value lives in the Python worker as long as the broadcast, so its tables are built once and serve all tasks there.
+            own = tables.value.get("tables")
+            if own is None:
+                own = tables.value["tables"] = Benchmark(tables.value["items"], window)
             for batch in batches:
                 texts = batch.column("text").to_pylist()
                 spans, items = batch.column("spans").to_pylist(), batch.column("items").to_pylist()

@@ -1,6 +1,7 @@
 """Line dedup with two Bloom filters, for lines seen once and lines seen twice.
 
-1. Each document sends the 64-bit hashes of its long lines, eight bytes each, to the block that owns them.
+1. Each task sends the distinct 64-bit hashes of the long lines in its documents, with a mark on those it met
+   in two of them, to the block that owns them; so a line found everywhere arrives a few times from each task.
 2. A block streams its hashes through a once-seen and a twice-seen filter. A hash that is already in
    the first is a suspect; the second tells which suspects may have been reported before, and only for
    those an exact look-up is made. False positives of either filter cost work and never a line.
@@ -26,6 +27,8 @@ LEAST_LENGTH = 40
 LEAST_DOCS = 5
 #: Hashes a block is laid out for, filter bits for each of them, and probes.
 BLOCK_LINES = 1 << 21
+#: Hashes a task combines before it sends them on.
+COMBINED_LINES = 1 << 20
 BITS_PER_LINE = 12
 PROBES = 5
 
@@ -67,13 +70,34 @@ class Bloom:
         np.bitwise_or.at(self.words, p >> np.uint64(3), np.left_shift(1, (p & np.uint64(7)).astype(np.uint8), dtype=np.uint8))
 
 
-def second_sights(batches: Iterator[np.ndarray], lines: int) -> Iterator[np.ndarray]:
-    """Hashes that come again, each once, from a stream of batches; memory is two filters and the result."""
+def combined(batches: Iterator[np.ndarray], limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct hashes, and whether each came more than once, of at least ``limit`` hashes at a time."""
+    held: list[np.ndarray] = []
+    size = 0
+    for hashes in batches:
+        held.append(hashes)
+        size += len(hashes)
+        if size >= limit:
+            u, n = np.unique(np.concatenate(held), return_counts=True)
+            yield u, n > 1
+            held, size = [], 0
+    if size:
+        u, n = np.unique(np.concatenate(held), return_counts=True)
+        yield u, n > 1
+
+
+def second_sights(batches: Iterator[tuple[np.ndarray, np.ndarray]], lines: int) -> Iterator[np.ndarray]:
+    """Hashes that come again or are marked as met twice, each once, from a stream of (hashes, marks).
+
+    Memory is two filters and the result, which is at most the distinct hashes of the block.
+    """
     once, twice = Bloom(lines * BITS_PER_LINE), Bloom(lines * BITS_PER_LINE)
     told: set[int] = set()
-    for hashes in batches:
-        u, n = np.unique(hashes, return_counts=True)
-        again = u[(n > 1) | once.holds(u)]
+    for hashes, marks in batches:
+        u, back, n = np.unique(hashes, return_inverse=True, return_counts=True)
+        marked = np.zeros(len(u), bool)
+        marked[back[marks]] = True
+        again = u[(n > 1) | marked | once.holds(u)]
         once.add(u)
         maybe = twice.holds(again)
         fresh = again[~maybe]
@@ -94,16 +118,18 @@ def suspects(docs: DataFrame, scratch: Scratch, least: int) -> DataFrame:
     spark = docs.sparkSession
 
     def hashes(batches):
-        for batch in batches:
-            found = [xxhash.xxh64_intdigest(key) for text in _texts(batch) for key in sorted(long_keys(text, least))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64))], ["h"])
+        found = (np.array([xxhash.xxh64_intdigest(key) for text in _texts(batch) for key in long_keys(text, least)], np.uint64)
+                 for batch in batches)
+        for h, marks in combined(found, COMBINED_LINES):
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(marks)], ["h", "twice"])
 
-    lines = scratch.keep(docs.select("text").mapInArrow(hashes, "h long"), "hashes")
+    lines = scratch.keep(docs.select("text").mapInArrow(hashes, "h long, twice boolean"), "hashes")
     n = partitions_for(spark, lines.count(), BLOCK_LINES)
 
     def again(batches):
-        stream = (batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for batch in batches)
-        for new in second_sights((x for x in stream if len(x)), BLOCK_LINES):
+        stream = ((batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), batch.column(1).to_numpy(zero_copy_only=False))
+                  for batch in batches)
+        for new in second_sights((x for x in stream if len(x[0])), BLOCK_LINES):
             yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64))], ["h"])
 
     return scratch.keep(lines.repartition(n, "h").mapInArrow(again, "h long"), "suspects")
@@ -125,10 +151,10 @@ def repeated_lines(docs: DataFrame, scratch: Scratch, least: int, least_docs: in
     rows = rows.join(small_side(found, found.count()), "h", "left_semi").select("doc_id", "digest")
     rows = scratch.keep(rows, "lines")
     # A null id is one document, before all others.
-    losing = rows.groupBy("digest").agg(
+    losing = scratch.keep(rows.groupBy("digest").agg(
         F.count_distinct("doc_id").alias("n"), F.max(F.col("doc_id").isNull().cast("int")).alias("none"),
-        F.max("doc_id").alias("last")).where(F.col("n") + F.col("none") >= least_docs).select("digest", "last")
-    return rows.join(losing, "digest").where(~F.col("doc_id").eqNullSafe(F.col("last"))).select(
+        F.max("doc_id").alias("last")).where(F.col("n") + F.col("none") >= least_docs).select("digest", "last"), "losing")
+    return rows.join(small_side(losing, losing.count()), "digest").where(~F.col("doc_id").eqNullSafe(F.col("last"))).select(
         F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "digest")
 
 
