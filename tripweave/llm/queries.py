@@ -185,6 +185,32 @@ SELECT c.page_id, c.url, strftime(fetched, '%Y-%m-%d') AS fetched, CAST(coalesce
   top.v AS decided_by, coalesce(top.b, false) AS blocked
 FROM captures c LEFT JOIN found f ON c.page_id = f.page_id"""
 
+#: Texts are cut into stretches of 512 starts, as taking a part of a long text costs its length. Two digits are a byte.
+ORACLE_SQL["op9_suffix_dedup"] = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+sized AS (SELECT doc_id, x, CAST(length(x) // 2 AS BIGINT) AS n FROM docs),
+stretches AS (
+  SELECT doc_id, s, substr(x, 2 * s + 1, 2 * (512 + 199)) AS y
+  FROM (SELECT doc_id, x, unnest(range(0, n, 512)) AS s FROM sized)),
+windows AS (
+  SELECT doc_id, s + i AS p, md5_number(substr(y, 2 * i + 1, 400)) AS g
+  FROM (SELECT doc_id, s, y, unnest(range(0, least(512, length(y) // 2 - 199))) AS i FROM stretches WHERE length(y) >= 400)),
+often AS (SELECT g FROM windows GROUP BY g HAVING count(*) > 1),
+starts AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM windows WHERE g IN (SELECT g FROM often)),
+numbered AS (
+  SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS nth
+  FROM starts),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 200 AS b FROM numbered GROUP BY doc_id, nth),
+edges AS (SELECT doc_id, a, b, b - a AS gone FROM spans UNION ALL SELECT doc_id, n, n, 0 FROM sized),
+pieces AS (
+  SELECT doc_id, a, b, gone, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS since FROM edges),
+kept AS (
+  SELECT d.doc_id, max(n) AS n, sum(gone) AS gone, sum(CASE WHEN gone > 0 THEN 1 ELSE 0 END) AS spans,
+    string_agg(substr(x, 2 * since + 1, 2 * (a - since)), '' ORDER BY a, b) AS y
+  FROM sized d JOIN pieces p ON d.doc_id = p.doc_id GROUP BY d.doc_id)
+SELECT doc_id, n AS n_bytes, CAST(gone AS BIGINT) AS n_removed, CAST(spans AS BIGINT) AS n_spans, sha256(unhex(y)) AS kept_sha256
+FROM kept"""
+
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
