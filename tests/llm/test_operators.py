@@ -268,13 +268,27 @@ def test_index_searches():
     text = np.concatenate([[0], rng.integers(1, 4, 600), [0], rng.integers(1, 4, 300)])
     index = fm_index.FMIndex(text, 8)
     ends = np.array([e for e in range(9, 601)])
-    length, low, high = index.matching(ends, 8)
+    length, low, high = index.matching(text, ends, 8, 2)
     seen = Counter(tuple(text[i:i + 8]) for i in range(len(text) - 7))
     for e, n, a, b in zip(ends, length, low, high):
         assert (n == 8) == (seen[tuple(text[e - 8:e])] > 1)
         assert n < 8 or b - a == seen[tuple(text[e - 8:e])]
 
 
+def test_index_streams_texts_it_does_not_hold():
+    rng = np.random.default_rng(7)
+    text = np.concatenate([[0], rng.integers(1, 4, 400)])
+    index = fm_index.FMIndex(text, 8)
+    other = rng.integers(1, 6, 300)  # 4 and 5 are not in the index
+    ends = np.arange(1, 301)
+    length, low, high = index.matching(other, ends, 8)
+    held = Counter(tuple(text[i:i + n]) for n in range(1, 9) for i in range(1, len(text) - n + 1))
+    for e, n, a, b in zip(ends, length, low, high):
+        longest = max([m for m in range(1, min(8, e) + 1) if tuple(other[e - m:e]) in held], default=0)
+        assert n == longest and (not n or b - a == held[tuple(other[e - n:e])])
+    assert not any(isinstance(x, np.ndarray) and len(x) >= len(text) for x in vars(index).values())
+
+
 def test_prefix_doubling_ranks_equal_windows_alike():
     rng = np.random.default_rng(6)
     text = rng.integers(97, 99, 3000).astype(np.uint8)

@@ -56,37 +56,44 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Backward search for patterns of up to ``depth`` symbols of the indexed sequence."""
+    """Backward search for patterns of up to ``depth`` symbols of the indexed sequence.
+
+    What is kept is the wavelet matrix of the transformed sequence and where each symbol begins; the sequence itself and its
+    suffix order are given up once the index stands.
+    """
 
     def __init__(self, symbols: np.ndarray, depth: int):
-        self.symbols = symbols.astype(np.int64)
-        self.order = suffix_order(self.symbols, depth)
-        self.bwt = WaveletMatrix(self.symbols[self.order - 1])
-        alphabet = int(self.symbols.max(initial=0)) + 1
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.symbols, minlength=alphabet))])
-        every = np.arange(alphabet)
-        self.base = self.bwt.rank(every, np.zeros(alphabet, np.int64))
+        symbols = symbols.astype(np.int64)
+        self.bwt = WaveletMatrix(symbols[suffix_order(symbols, depth) - 1])
+        self.alphabet = int(symbols.max(initial=0)) + 1
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=self.alphabet))])
+        self.base = self.bwt.rank(np.arange(self.alphabet), np.zeros(self.alphabet, np.int64))
 
     def extend(self, symbol: np.ndarray, position: np.ndarray) -> np.ndarray:
         """The end of an interval after one more symbol to the left."""
         return self.first[symbol] + self.bwt.rank(symbol, position) - self.base[symbol]
 
-    def matching(self, ends: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each end, the symbols to its left, up to ``most``, that occur elsewhere too, and their interval.
+    def matching(self, text: np.ndarray, ends: np.ndarray, most: int, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each end in a streamed ``text``, how many symbols to its left, up to ``most``, the index holds at ``least`` times, and their interval.
 
-        These are the matching statistics of the indexed text against itself, each read from its end; a search stops when its interval has one
-        entry left, which is the text itself.
+        These are matching statistics, each read from its end. The text may be any; a symbol that the index does not know ends a search.
+        For a text that is part of the index, ``least`` is 2, as it finds itself.
         """
-        length = np.ones(len(ends), np.int64)
-        last = self.symbols[ends - 1]
-        low, high = self.first[last], self.first[last + 1]
-        active = np.flatnonzero(high - low > 1)
-        length[high - low <= 1] = 0
-        for t in range(2, most + 1):
-            symbol = self.symbols[ends[active] - t]
-            both = self.extend(np.concatenate([symbol, symbol]), np.concatenate([low[active], high[active]]))
-            a, b = both[:len(active)], both[len(active):]
-            go = b - a > 1
+        length = np.zeros(len(ends), np.int64)
+        low, high = np.zeros(len(ends), np.int64), np.full(len(ends), self.bwt.n, np.int64)
+        active = np.arange(len(ends))
+        for t in range(1, most + 1):
+            active = active[ends[active] >= t]
+            symbol = text[ends[active] - t]
+            active, symbol = active[symbol < self.alphabet], symbol[symbol < self.alphabet]
+            if t == 1:
+                a, b = self.first[symbol], self.first[symbol + 1]
+            else:
+                both = self.extend(np.concatenate([symbol, symbol]), np.concatenate([low[active], high[active]]))
+                a, b = both[:len(active)], both[len(active):]
+            go = b - a >= least
             active = active[go]
+            if not len(active):
+                break
             low[active], high[active], length[active] = a[go], b[go], t
         return length, low, high

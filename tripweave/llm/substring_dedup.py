@@ -1,12 +1,14 @@
 """Substring dedup over words: an FM-index per shard finds windows that start earlier elsewhere.
 
-A shard indexes the distinct segments of its owners (see ``repeats``). Each window is searched backwards, word by word, over a wavelet
-matrix of the transformed text; windows whose matching statistic reaches the window length report their interval. All windows of one interval are equal,
+A shard indexes the distinct segments of its owners (see ``repeats``) and keeps nothing but the compressed index. The segments are then streamed
+against it, some at a time: each window is searched backwards, word by word, over a wavelet matrix of the transformed text; windows whose matching statistic reaches the window length report their interval. All windows of one interval are equal,
 so the earliest of them is the first occurrence in the corpus and the others go.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,6 +19,8 @@ from tripweave.llm.fm_index import FMIndex
 from tripweave.llm.repeats import HOT, BASE, INVERSE, Kind, Shard, copies, merged, mixed, powers, repeated_spans, stored
 
 WINDOW, GRAM = 20, 8
+#: Segments streamed against an index at once.
+STREAMED = 4096
 
 
 def word_symbols(texts: list[str]) -> tuple[np.ndarray, list[int]]:
@@ -44,16 +48,24 @@ def first_windows(window: int):
     def judge(shard: Shard, occurrence: np.ndarray, place: np.ndarray) -> np.ndarray:
         # The text: word numbers from 1, a zero before each segment.
         ids: dict[bytes, int] = {}
-        words = [[0, *[ids.setdefault(w, len(ids) + 1) for w in s.split(b" ")]] for s in shard.segs]
-        text = np.concatenate([np.array(w, np.int64) for w in words]) if words else np.zeros(0, np.int64)
-        begin = np.cumsum([0] + [len(w) for w in words])[:-1] + 1
-        index = FMIndex(text, window)
+        total = sum(s.count(b" ") + 2 for s in shard.segs)
+        words = np.fromiter(chain.from_iterable(
+            chain((0,), (ids.setdefault(w, len(ids) + 1) for w in s.split(b" "))) for s in shard.segs), np.int32, total)
+        index = FMIndex(words, window)
+        del words
         r = shard.windows
-        seg = np.repeat(np.arange(len(r)), r)
-        inside = np.arange(r.sum()) - np.repeat(np.cumsum(r) - r, r)
-        length, low, _ = index.matching(begin[seg] + inside + window, window)
+        length, low = np.zeros(int(r.sum()), np.int64), np.zeros(int(r.sum()), np.int64)
+        done = 0
+        for first in range(0, len(r), STREAMED):
+            part, own = shard.segs[first:first + STREAMED], r[first:first + STREAMED]
+            text = np.fromiter(chain.from_iterable(chain((0,), map(ids.__getitem__, s.split(b" "))) for s in part), np.int64)
+            begin = np.flatnonzero(text == 0) + 1
+            inside = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            n = len(inside)
+            length[done:done + n], low[done:done + n], _ = index.matching(text, np.repeat(begin, own) + inside + window, window, 2)
+            done += n
         # Windows with the same interval are equal; the others are equal to nothing but their own copies.
-        group = np.where(length >= window, low, len(text) + np.arange(len(seg)))
+        group = np.where(length >= window, low, index.bwt.n + np.arange(done))
         group = np.unique(group, return_inverse=True)[1]
         # Windows of an occurrence are numbered like those of its segment.
         offset = np.cumsum(r) - r
