@@ -274,3 +274,36 @@ def test_positions_are_sized_by_the_input_and_released(spark):
     assert "SortMergeJoin" not in placed._jdf.queryExecution().toString()
     kept = materialize(rows)
     assert kept.count() == 1000 and release(spark) >= 2 and release(spark) == 0
+
+
+def test_running_error_holds_no_more_than_a_chunk(spark):
+    """Chunks of a key come in order and leave as they come; nothing but the partial batch waits."""
+    class Value:
+        def __init__(self):
+            self.v = None
+
+        exists = lambda self: self.v is not None
+        get = lambda self: self.v
+
+        def update(self, v):
+            self.v = v
+
+        put, clear = update, lambda self: self.update(None)
+
+    class Clock:
+        getCurrentProcessingTimeInMs = staticmethod(lambda: 0)
+
+    p, read = running.RunningError(4, 500), []
+    p.totals, p.waiting, p._set_timer = Value(), Value(), lambda at: None
+
+    def chunks():
+        for k in range(5):
+            read.append(k)
+            yield pd.DataFrame({"id": [f"t{k}{i}" for i in range(6)], "prediction_error": [1.0 * k] * 6})
+
+    out = p.handleInputRows(("1",), chunks(), Clock)
+    first = next(out)
+    assert read == [0] and first["id"].tolist() == ["t00", "t01", "t02", "t03"]
+    rest = pd.concat([first, *out])
+    assert rest["processed"].tolist() == list(range(1, 29)) and p.totals.v == (30, 60.0) and [x[0] for x in p.waiting.v] == ["t44", "t45"]
+    assert rest["avg_error"].tolist()[6] == pytest.approx(1 / 7)
