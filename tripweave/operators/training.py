@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions.rows import taken, the_row
 from tripweave.functions.trip import with_trip_features
+from tripweave.operators.boosting import covers, fit_boosted
 from tripweave.operators.filters import training_rows
 from tripweave.operators.neural import fit_network
 from tripweave.operators.scoring import regression_metrics
@@ -104,7 +105,13 @@ def fit_model(
     """Fit one pipeline on ``train`` and measure it on ``test``."""
     shared_dir(train.sparkSession)  # boosting cuts its lineage there
     moments = scaling(train, features).first().asDict() if scaled else None
-    model = Pipeline(stages=[*_prepare(features, moments), regressor]).fit(train)
+    prepared = _prepare(features, moments)
+    if isinstance(regressor, GBTRegressor) and covers(regressor):
+        to_vector = Pipeline(stages=prepared).fit(train)
+        trees = fit_boosted(prepared[0].transform(train), [f"x_{c}" for c in features], regressor)
+        model = PipelineModel([*to_vector.stages, trees])
+    else:
+        model = Pipeline(stages=[*prepared, regressor]).fit(train)
     params = {p.name: str(v) for p, v in regressor.extractParamMap().items()}
     # Ranking and logging the metrics must not score the test rows again.
     metrics = taken(evaluate(model, test))
